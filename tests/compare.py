@@ -71,7 +71,12 @@ def main(sf_dir: str, names: list[str]) -> int:
             print(f"{name:28} rows={len(got[1]):8} {spent:6.1f}s  no sql", flush=True)
             continue
         start = time.time()
-        want = sql_side(con, name)
+        try:
+            want = sql_side(con, name)
+        except Exception as error:
+            print(f"{name:28} SQL ERROR {str(error)[:1500]}", flush=True)
+            failed += 1
+            continue
         sql_spent = time.time() - start
         same = got == want
         print(f"{name:28} rows={len(got[1]):8} {spent:6.1f}s  sql {sql_spent:6.1f}s  {'ok' if same else 'DIFF'}", flush=True)
