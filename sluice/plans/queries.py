@@ -3,6 +3,7 @@
 from sluice.plans import (  # noqa: F401
     ingest_queries,
     load_queries,
+    model_queries,
     neighbor_queries,
     text_queries,
 )
