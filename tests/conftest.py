@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import SparkSession
 
-from sluice.session import build_session
+from sluice.session import build_session, shared_dir
 
 
 def make_session() -> SparkSession:
@@ -25,7 +25,9 @@ def make_session() -> SparkSession:
 
 @pytest.fixture(scope="session")
 def spark():
-    return make_session()
+    session = make_session()
+    shared_dir(session)
+    return session
 
 
 @pytest.fixture(scope="session")
