@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ shouldn't wasn wasn't weren weren't won won't wouldn wouldn't
 )
 
 # Fused words that the word tokeniser splits in two.
+FUSED = ("cannot", "gimme", "lemme", "gonna", "wanna", "gotta")
 FUSED_WORDS = r"\b(?:(can)(not)|(gim|lem)(me)|(gon|wan)(na)|(got)(ta))\b"
 FUSED_WORDS_SPLIT = "$1$3$5$7 $2$4$6$8"
 
@@ -44,17 +47,36 @@ def clean_text(
     keeps blanks beyond ASCII; ``keep_letters=r"\\p{L}"`` keeps accented letters.
     """
     flag = "(?U)" if unicode_space else ""
-    cleaned = F.regexp_replace(F.lower(text), rf"{flag}[^{keep_letters}\s:]", "")
-    words = [re.escape(word) for word in drop_words]
-    return F.regexp_replace(cleaned, "|".join(words), "") if words else cleaned
+    cleaned = F.regexp_replace(F.lower(text), rf"{flag}[^{keep_letters}\s:]+", "")
+    drop_words = list(drop_words)
+    if not drop_words:
+        return cleaned
+    pattern = "|".join(re.escape(word) for word in drop_words)
+    return _where_found(cleaned, drop_words, lambda t: F.regexp_replace(t, pattern, ""))
+
+
+def _where_found(
+    text: Column, words: Iterable[str], change: Callable[[Column], Column]
+) -> Column:
+    """``change`` only the texts that hold one of the words: a search is far cheaper."""
+    return bound(
+        text,
+        lambda t: F.when(reduce(or_, [t.contains(w) for w in words]), change(t)).otherwise(t),
+    )
 
 
 def word_tokens(text: Column, split_fused: bool = True, unicode_words: bool = False) -> Column:
     """Words of a text, in order; everything outside word characters separates."""
-    flag = "(?U)" if unicode_words else ""
+    return F.filter(_pieces(text, split_fused, unicode_words), lambda word: word != "")
+
+
+def _pieces(text: Column, split_fused: bool, unicode_words: bool) -> Column:
+    """The text cut at its separators, empty pieces included."""
     if split_fused:
-        text = F.regexp_replace(text, FUSED_WORDS, FUSED_WORDS_SPLIT)
-    return F.filter(F.split(text, rf"{flag}\W+"), lambda word: word != "")
+        text = _where_found(
+            text, FUSED, lambda t: F.regexp_replace(t, FUSED_WORDS, FUSED_WORDS_SPLIT)
+        )
+    return F.split(text, rf"{'(?U)' if unicode_words else ''}\W+")
 
 
 def without_stop_words(tokens: Column, stop_words: Iterable[str] = ENGLISH_STOP_WORDS) -> Column:
@@ -69,7 +91,9 @@ def text_words(
     stop_words: Iterable[str] = ENGLISH_STOP_WORDS,
 ) -> Column:
     """Clean, split into words and drop stop words in one expression."""
-    return without_stop_words(word_tokens(clean_text(text, drop_words)), stop_words)
+    # the empty piece before a leading separator goes out with the stop words
+    pieces = _pieces(clean_text(text, drop_words), True, False)
+    return without_stop_words(pieces, ["", *stop_words])
 
 
 def word_ngrams(tokens: Column, n_min: int = 1, n_max: int = 3, min_length: int = 2) -> Column:

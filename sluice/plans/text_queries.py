@@ -9,10 +9,10 @@ from sluice.functions.text import clean_text, word_ngrams, word_tokens
 from sluice.operators import similarity, tfidf, topics, words
 from sluice.plans import sql_text as S
 from sluice.plans.registry import query
-from sluice.plans.tables import DOMAIN_WORDS, score, survey, table, tokenised
+from sluice.plans.tables import DOMAIN_WORDS, documents, score, survey, table, tokenised
 
 MAX_SCORE = 6
-MIN_SIMILARITY = 0.6
+MIN_SIMILARITY = 0.8
 SETTINGS = tfidf.TfidfSettings(max_features=20_000)
 
 
@@ -43,14 +43,14 @@ def topic_score_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"select doc_id, {S.CLEAN} as cleaned from documents")
 def text_clean(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf, "text")
     return docs.select("doc_id", clean_text(F.col("text"), DOMAIN_WORDS).alias("cleaned"))
 
 
 @query(f"select doc_id, array_to_string({S.SPLIT}, ' ') as tokens from documents")
 def text_tokens(spark: SparkSession, sf: str) -> DataFrame:
     tokens = word_tokens(clean_text(F.col("text"), DOMAIN_WORDS))
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf, "text").select(
         "doc_id", F.array_join(tokens, " ").alias("tokens")
     )
 
