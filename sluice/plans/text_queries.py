@@ -10,6 +10,7 @@ from sluice.operators import similarity, tfidf, topics, words
 from sluice.plans import sql_text as S
 from sluice.plans.registry import query
 from sluice.plans.tables import DOMAIN_WORDS, documents, score, survey, table, tokenised
+from sluice.session import cut_lineage
 
 MAX_SCORE = 6
 MIN_SIMILARITY = 0.8
@@ -142,7 +143,9 @@ def topic_weights(spark: SparkSession, sf: str) -> DataFrame:
     """The whole text side of the topic job: stems from all texts, weights of the scored ones."""
     docs = words.canonical_tokens(tokenised(spark, sf))
     scored = survey(spark, sf).filter(F.col("ltr") <= MAX_SCORE).select("doc_id")
-    weights = tfidf.tfidf_weights(docs.join(scored, "doc_id"), settings=SETTINGS, placed=True)
+    # the weights read the documents twice, so their words are written once
+    chosen = cut_lineage(docs.join(scored, "doc_id"))
+    weights = tfidf.tfidf_weights(chosen, settings=SETTINGS)
     return weights.withColumn("weight", F.round("weight", 6))
 
 

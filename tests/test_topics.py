@@ -58,8 +58,9 @@ def test_bounds_and_cap_of_the_vocabulary(spark):
 
 
 @pytest.mark.parametrize("least", [0.2, 0.5, 0.9])
-@pytest.mark.parametrize("per_block", [5_000, 4])
-def test_pairs_equal_brute_force(spark, least, per_block):
+@pytest.mark.parametrize(("per_block", "broadcast"), [(5_000, 4_000_000), (4, 0)])
+def test_pairs_equal_brute_force(spark, monkeypatch, least, per_block, broadcast):
+    monkeypatch.setattr(similarity, "BROADCAST_ENTRIES", broadcast)
     weights = tfidf.tfidf_weights(documents(spark), settings=SETTINGS)
     vectors: dict[int, dict[str, float]] = {}
     for r in weights.collect():
