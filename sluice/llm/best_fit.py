@@ -26,6 +26,7 @@ import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sluice.llm.batches import scan_partitions, slices, stored
 
@@ -288,8 +289,8 @@ def place(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.drop_columns(["number"]).columns, *added], names)
 
     rows = numbered(pieces, GROUPS_PER_PARTITION * scan_partitions(pieces))
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
-    return rows.select(*pieces.columns, "number").mapInArrow(run, schema)
+    added = [StructField("sequence_id", LongType()), StructField("offset", LongType())]
+    return rows.select(*pieces.columns, "number").mapInArrow(run, StructType([*pieces.schema.fields, *added]))
 
 
 def pack_documents(

@@ -125,7 +125,7 @@ def level_of(counts: np.ndarray) -> np.ndarray:
 
 def places(keys: np.ndarray, level: int, size: np.ndarray) -> Iterator[np.ndarray]:
     """Bit numbers of (key, level) in a segment of ``size`` bits."""
-    a = _mixed(keys + np.uint64(level) * np.uint64(0x9E3779B97F4A7C15))
+    a = _mixed(keys + np.uint64(level * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
     b = _mixed(a) | np.uint64(1)
     for i in range(HASHES):
         yield ((a + np.uint64(i) * b) % size.astype(np.uint64)).astype(np.int64)
