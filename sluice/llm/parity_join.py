@@ -275,8 +275,8 @@ def block_groups(entries: DataFrame) -> DataFrame:
         large = np.flatnonzero(sizes > PAIRED_GROUP)
         members = [np.arange(starts[g], starts[g] + sizes[g]) for g in large]
         for group in members:
-            turn = entries["key"][group[0]] % np.uint64(CENTRES)
-            centre = group[np.argmin(_mixed(entries["a"][group] + turn * np.uint64(0x9E3779B97F4A7C15)))]
+            turn = np.uint64(int(entries["key"][group[0]]) % CENTRES * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+            centre = group[np.argmin(_mixed(entries["a"][group] + turn))]
             others = group[group != centre]
             left.append(np.minimum(others, centre))
             right.append(np.maximum(others, centre))
@@ -397,10 +397,15 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def across(members: DataFrame, roots: DataFrame, nodes: DataFrame, pct: int) -> DataFrame:
-    """Pairs of different components within the large groups ``members`` (key, node), near enough by sketch."""
+    """Pairs of different components within the large groups ``members`` (key, node), near enough by sketch.
+
+    Groups with the same least node, as the many blocks of one cluster have, are compared as one.
+    """
     known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = known.groupBy("key").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("key")
-    rows = known.join(mixed, "key").join(nodes, "node").select("key", "node", "root", "n_shingles", "sketch")
+    keys = known.groupBy("key").agg((F.min("root") != F.max("root")).alias("mixed"), F.min("node").alias("leader"))
+    led = known.join(keys.filter("mixed").select("key", "leader"), "key")
+    rows = led.select("leader", "node", "root").distinct().join(nodes, "node")
+    rows = rows.select("leader", "node", "root", "n_shingles", "sketch")
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         node, root = rows.column("node").to_pylist(), rows.column("root").to_pylist()
@@ -423,7 +428,7 @@ def across(members: DataFrame, roots: DataFrame, nodes: DataFrame, pct: int) ->
                     right.append(max(node[i], node[k]))
         return pa.table([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["left", "right"])
 
-    return rows.groupBy("key").applyInArrow(run, "left binary, right binary").distinct()
+    return rows.groupBy("leader").applyInArrow(run, "left binary, right binary").distinct()
 
 
 def similar_texts(
