@@ -35,7 +35,8 @@ LEVEL_BASE = 1.5
 MAX_LEVEL = 200
 FOLDS, HELD_OUT = 7, 2
 COUNT_KEYS = 300_000
-PAIR_TOKENS = 2_000_000
+PAIR_TOKENS = 500_000
+REMEMBERED_WORDS = 150_000
 HOT_WORDS = 100_000
 SEGMENTS_PER_PARTITION = 4
 PASS_BYTES = 128 << 20
@@ -62,11 +63,19 @@ def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return _mixed(left * np.uint64(3) + _mixed(right))
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts ``keys``, where each distinct one starts in it, and the distinct ones."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(keys)])
+    return order, starts, ordered[starts]
+
+
 class WordHashes(dict):
     """Hashes of words, remembered for a bounded number of them."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= COUNT_KEYS:
+        if len(self) >= REMEMBERED_WORDS:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -168,6 +177,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _packed(segment: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if not len(keys):
+        return
     order = np.argsort(segment, kind="stable")
     segment, keys, counts = segment[order], keys[order], counts[order]
     numbers, starts = np.unique(segment, return_index=True)
@@ -230,11 +241,13 @@ def ngram_segments(docs: DataFrame, frequent: Broadcast, total: int) -> DataFram
     """
 
     def counted(words: list[np.ndarray], pairs: list[np.ndarray], seconds: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.unique(np.concatenate(words), return_counts=True)
+        every = np.concatenate(words)
+        order, starts, keys = distinct(every)
+        counts = np.diff(np.append(starts, len(order)))
         yield from _packed((keys % np.uint64(total)).astype(np.int64), keys, counts)
-        every = np.concatenate(pairs)
-        keys, first, counts = np.unique(every, return_index=True, return_counts=True)
-        second = np.concatenate(seconds)[first]
+        order, starts, keys = distinct(np.concatenate(pairs))
+        counts = np.diff(np.append(starts, len(order)))
+        second = np.concatenate(seconds)[order[starts]]
         hot = frequent.value.find(second)
         yield from _packed(_pair_segments(hot, keys, second, total), keys, counts)
 
@@ -260,8 +273,8 @@ def ngram_segments(docs: DataFrame, frequent: Broadcast, total: int) -> DataFram
         for batch in rows:
             keys += [np.frombuffer(x, "<u8") for x in batch.column("keys").to_pylist()]
             counts += [np.frombuffer(x, "<u4") for x in batch.column("counts").to_pylist()]
-        every, number = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(number, weights=np.concatenate(counts)).astype(np.int64)
+        order, starts, every = distinct(np.concatenate(keys))
+        sums = np.add.reduceat(np.concatenate(counts).astype(np.int64)[order], starts)
         yield pa.RecordBatch.from_arrays(
             [pa.array([key[0].as_py()], pa.int32()), pa.array([segment_bits(every, sums)], pa.binary())],
             ["segment", "bits"],
@@ -298,7 +311,9 @@ def part_scores(
 ) -> np.ndarray:
     """What the segments of one pass say about each text: log10 terms that add up over the passes."""
     flat, starts = _token_arrays(lists, hashes)
-    words, number = np.unique(flat, return_inverse=True)
+    order, first, words = distinct(flat)
+    number = np.empty(len(flat), np.int64)
+    number[order] = np.repeat(np.arange(len(words)), np.diff(np.append(first, len(flat))))
     exact = frequent.find(words)
     segment = (words % np.uint64(held.total)).astype(np.int64)
     here = np.where(exact > 0, held.first, held.covers(segment))
@@ -336,10 +351,10 @@ def _scored(docs: DataFrame, frequent: Broadcast, held: Broadcast, n: int, v: in
 
 def _with_scores(
     docs: DataFrame, segments: DataFrame, frequent: Broadcast, total: int, n: int, v: int, limit: int
-) -> DataFrame:
-    """``docs`` (doc_id, held_out, text) with ``score``.
+) -> tuple[DataFrame, Broadcast | None]:
+    """``docs`` (doc_id, held_out, text) with ``score``, and what is still to be added to it.
 
-    One pass adds its scores to the rows.  Where the filter takes several, each is a
+    A single pass is left to the step that sends the words.  Where the filter takes several, each is a
     job of its own that leaves its parts in the shared folder, by a 128-bit key of
     id and text, and the next one finds the former filter gone from memory.
     """
@@ -348,7 +363,7 @@ def _with_scores(
     first = next(pending)
     second = next(pending, None)
     if second is None:
-        return _scored(docs, frequent, context.broadcast(first), n, v).withColumnRenamed("part", "score")
+        return docs.withColumn("score", F.lit(0.0)), context.broadcast(first)
     key = F.struct(
         F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("b")
     )
@@ -360,7 +375,7 @@ def _with_scores(
         parts.append(stored(own.groupBy("key").agg(F.first("part").alias("part")), "lm-part"))
         held.destroy()
     every = functools.reduce(DataFrame.unionAll, parts)
-    return keyed.join(every.groupBy("key").agg(F.sum("part").alias("score")), "key", "left").drop("key")
+    return keyed.join(every.groupBy("key").agg(F.sum("part").alias("score")), "key", "left").drop("key"), None
 
 
 def lm_scores(
@@ -398,11 +413,11 @@ def lm_scores(
     n, v = row["n"], row["v"]
     frequent = spark.sparkContext.broadcast(frequent_words(counts))
     segments = stored(ngram_segments(train, frequent, total), "lm-filter")
-    scored = _with_scores(docs, segments, frequent, total, n, v, pass_bytes)
-    return _with_base(scored, counts, frequent, n, v)
+    scored, held = _with_scores(docs, segments, frequent, total, n, v, pass_bytes)
+    return _with_base(scored, held, counts, frequent, n, v)
 
 
-def _with_base(scored: DataFrame, counts: DataFrame, frequent: Broadcast, n: int, v: int) -> DataFrame:
+def _with_base(scored: DataFrame, held: Broadcast | None, counts: DataFrame, frequent: Broadcast, n: int, v: int) -> DataFrame:
     """Join the less frequent words with their counts and sum per document.
 
     A document sends one row for all its frequent words, under a word of its own that
@@ -412,12 +427,17 @@ def _with_base(scored: DataFrame, counts: DataFrame, frequent: Broadcast, n: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = frequent.value.words
-        logs = {w: math.log10(c + 1) for w, c in known.items()}
+        logs, hashes = {w: math.log10(c + 1) for w, c in known.items()}, WordHashes()
         for batch in slices(batches):
+            if not batch.num_rows:
+                continue
             rows: dict[str, list] = {name: [] for name in names}
             ids = [batch.column(c).to_pylist() for c in ("row_id", "doc_id", "held_out", "score")]
-            for text, *own in zip(texts_of(batch, "text"), *ids, strict=True):
-                found = Counter(tokens_of(text))
+            lists = [tokens_of(t) for t in texts_of(batch, "text")]
+            if held is not None:
+                ids[3] = part_scores(lists, hashes, held.value, frequent.value, n, v).tolist()
+            for tokens, *own in zip(lists, *ids, strict=True):
+                found = Counter(tokens)
                 rest = [(w, c) for w, c in found.items() if w not in known]
                 n_rest = sum(c for _, c in rest)
                 size = sum(found.values())
