@@ -31,7 +31,7 @@ from sluice.llm.batches import scan_partitions, slices, stored, texts_of, words_
 
 END = b"\n"  # no word holds a blank, so this cannot be one
 BITS_PER_ENTRY, HASHES = 8, 5
-LEVEL_BASE = 1.5
+LEVEL_BASE = 2.0
 MAX_LEVEL = 200
 FOLDS, HELD_OUT = 7, 2
 COUNT_KEYS = 300_000
@@ -110,12 +110,12 @@ class Segments:
         for level in range(1, MAX_LEVEL + 1):
             if not left.size:
                 break
-            where = segment[left]
-            base, hit = self.starts[where], np.ones(len(left), bool)
-            for place in places(keys[left], level, self.sizes[where]):
-                place += base
-                hit &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
-            left = left[hit]
+            a, b = hash_pair(keys[left], level)
+            for i in range(HASHES):
+                where = segment[left]
+                at = self.starts[where] + place_of(a, b, i, self.sizes[where])
+                hit = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+                left, a, b = left[hit], a[hit], b[hit]
             out[left] = level
         return out
 
@@ -132,12 +132,16 @@ def level_of(counts: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(counts) / math.log(LEVEL_BASE) + 1e-9).astype(np.int64)
 
 
-def places(keys: np.ndarray, level: int, size: np.ndarray) -> Iterator[np.ndarray]:
-    """Bit numbers of (key, level) in a segment of ``size`` bits."""
+def hash_pair(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of (key, level), which give all its places."""
     a = _mixed(keys + np.uint64(level * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-    b = _mixed(a) | np.uint64(1)
-    for i in range(HASHES):
-        yield ((a + np.uint64(i) * b) % size.astype(np.uint64)).astype(np.int64)
+    return a, (a * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
+
+
+def place_of(a: np.ndarray, b: np.ndarray, i: int, size: np.ndarray) -> np.ndarray:
+    """The i-th bit number in a segment of ``size`` bits, which is under 2^32."""
+    high = (a + np.uint64(i) * b) >> np.uint64(32)
+    return ((high * size.astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
 
 
 def segment_bits(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -147,8 +151,9 @@ def segment_bits(keys: np.ndarray, counts: np.ndarray) -> bytes:
     bits = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         own = keys[levels >= level]
-        for place in places(own, level, np.full(len(own), size)):
-            bits[place] = True
+        a, b = hash_pair(own, level)
+        for i in range(HASHES):
+            bits[place_of(a, b, i, np.full(len(own), size))] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
