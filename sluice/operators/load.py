@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,47 +141,61 @@ def load_table(
 ) -> dict[str, object]:
     """Load ``source`` into a catalog table and return what was done.
 
-    The source is staged once in the shared folder, so it is not computed twice.
-    Replace and upsert fill a new table like the target, which then takes the
-    target's name: a load that fails leaves the target as it was.  Columns the
-    source lacks get the default declared on the table.
+    An append inserts the source as it comes.  Replace and upsert read it twice, so it is
+    staged once in the shared folder, and the copy is removed at the end.  They fill a new
+    table like the target, which then takes the target's name: a load that fails leaves the
+    target as it was.  Columns the source lacks get the default declared on the table.
     """
     check_load(how, keys)
     spark = source.sparkSession
     target = spark.table(table)
-    staged = _staged(spark, named_for(source, target.schema))
-    rows_in = Observation("rows_in")
-    rows = staged.observe(rows_in, F.count(F.lit(1)).alias("n"))
+    rows = named_for(source, target.schema)
     before = target.count()
     if how == "append":
         _insert(spark, table, rows)
-        deleted = 0
-    else:
-        fresh = f"{table}__{uuid.uuid4().hex[:12]}"
+        after = spark.table(table).count()
+        return _done(table, how, after - before, 0, after)
+    path = scratch_path(spark, "stage")
+    fresh = f"{table}__{uuid.uuid4().hex[:12]}"
+    try:
+        rows.write.parquet(path)
+        staged = spark.read.schema(rows.schema).parquet(path)
         spark.sql(f"CREATE TABLE {fresh} LIKE {table} USING {_provider(spark, table)}")
-        kept = rows_kept(target, staged, keys) if how == "upsert" else target.limit(0)
         if how == "upsert":
-            _insert(spark, fresh, kept)
-        deleted = before - spark.table(fresh).count()
-        _insert(spark, fresh, rows)
-        old = f"{table}__{uuid.uuid4().hex[:12]}"
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-        spark.sql(f"DROP TABLE {old}")
-    came = rows_in.get["n"]
+            _insert(spark, fresh, rows_kept(target, staged, keys))
+        kept = spark.table(fresh).count()
+        _insert(spark, fresh, staged)
+        came = staged.count()
+        _swap(spark, table, fresh)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        _remove(spark, path)
+    return _done(table, how, came, before - kept, kept + came)
+
+
+def _done(table: str, how: str, came: int, deleted: int, after: int) -> dict[str, object]:
     return {
-        "table": table,
-        "how": how,
-        "rows_in": came,
-        "rows_deleted": deleted,
-        "rows_after": before - deleted + came,
-    }
+        "table": table, "how": how, "rows_in": came, "rows_deleted": deleted, "rows_after": after,
+    }
 
 
-def _staged(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    path = scratch_path(spark, "stage")
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+def _swap(spark: SparkSession, table: str, fresh: str) -> None:
+    """Give ``fresh`` the name of ``table``; if that fails the table gets its name back."""
+    old = f"{table}__{uuid.uuid4().hex[:12]}"
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def _insert(spark: SparkSession, table: str, rows: DataFrame) -> None:

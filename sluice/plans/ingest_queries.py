@@ -72,18 +72,14 @@ def param_filter(spark: SparkSession, sf: str) -> DataFrame:
     union all select 'supplier.parquet', s_suppkey, s_name from supplier"""
 )
 def convert_folder(spark: SparkSession, sf: str) -> DataFrame:
-    """Two parquet inputs converted to one CSV folder each, read back."""
-    root, out = scratch_path(spark, "inputs"), scratch_path(spark, "converted")
+    """Two parquet inputs converted to one CSV folder each, read back with the folders' names."""
+    found = []
     for name, key, label in (("part", "p_partkey", "p_name"), ("supplier", "s_suppkey", "s_name")):
-        rows = table(spark, sf, name).selectExpr(f"{key} key", f"{label} name")
-        rows.write.parquet(f"{root}/{name}")
-    csv_folder.convert_folder(spark, f"{root}/*/*.parquet", out)
-    read = spark.read.option("header", True).schema("key bigint, name string, source_file string")
-    origin = F.when(F.col("name").startswith("Supplier"), "supplier.parquet").otherwise(
-        "part.parquet"
-    )
-    # the input files bear generated names, so each is told by what it holds
-    return read.csv(out).select(origin.alias("source_file"), "key", "name")
+        out = scratch_path(spark, "converted")
+        csv_folder.convert_folder(spark, f"{sf}/{name}.parquet", out)
+        read = spark.read.option("header", True).csv(out)
+        found.append(read.select("source_file", F.col(key).cast("long").alias("key"), F.col(label).alias("name")))
+    return found[0].union(found[1])
 
 
 @query(
@@ -201,12 +197,16 @@ XML_SCHEMA = "n array<struct<v: string>>, t array<string>"
 
 
 def _responses(spark: SparkSession, sf: str) -> DataFrame:
-    """One saved XML response per order; those of urgent orders are cut off."""
+    """One saved XML response per order; those of urgent orders are cut off.
+
+    The third value holds a node inside, the fourth is empty.
+    """
     stamp = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
     orders = table(spark, sf, "orders")
     body = F.concat(
         F.lit("<order><n><v>"), F.col("o_custkey"), F.lit("</v></n><n><v>"), F.col("o_orderstatus"),
-        F.lit("</v></n><n><v>"), F.col("o_orderpriority"), F.lit("</v></n><t>"), stamp,
+        F.lit("</v></n><n><v>"), F.substring("o_orderpriority", 1, 2), F.lit("<w>"),
+        F.substring("o_orderpriority", 3, 99), F.lit("</w></v></n><n><v/></n><t>"), stamp,
         F.lit("</t><t>"), stamp, F.lit("</t>"),
     )
     end = F.when(F.col("o_orderpriority") == "1-URGENT", "").otherwise("</order>")
@@ -214,10 +214,10 @@ def _responses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 XML_NODES = """nodes as (select o_orderkey, o_custkey, o_orderpriority = '1-URGENT' as bad,
-  [o_custkey::varchar, o_orderstatus, o_orderpriority] as v,
+  [o_custkey::varchar, o_orderstatus, o_orderpriority, ''] as v,
   strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as t from orders)"""
-XML_ROWS = """rows as (select o_orderkey, o_custkey, unnest([0, 1, 2]) as pos, unnest(v) as value,
-  unnest([t, t, null]) as time, unnest([t || '!', t || '!', null]) as marked
+XML_ROWS = """rows as (select o_orderkey, o_custkey, unnest([0, 1, 2, 3]) as pos, unnest(v) as value,
+  unnest([t, t, null, null]) as time, unnest([t || '!', t || '!', null, null]) as marked
   from nodes where not bad)"""
 
 
@@ -241,10 +241,8 @@ def xml_nodes_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 def _node_arrays(responses: DataFrame) -> DataFrame:
     """Values and times of each response; null where it cannot be read."""
-    parsed = payloads.with_xml(responses, "payload", XML_SCHEMA)
-    return parsed.withColumn("values", F.when(F.col("ok"), F.col("record.n.v"))).withColumn(
-        "times", F.when(F.col("ok"), F.col("record.t"))
-    )
+    nodes = {"values": "//order/n/v", "times": "//order/t"}
+    return responses.withColumns({c: payloads.node_texts(F.col("payload"), p) for c, p in nodes.items()})
 
 
 @query(f"with {XML_NODES}, {XML_ROWS} select o_orderkey, pos, value, time, marked from rows")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from xml.etree import ElementTree
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,19 +26,32 @@ def _with_record(df: DataFrame, parsed: Column, payload: str, into: str) -> Data
     return df.withColumn(into, parsed).withColumn("ok", F.coalesce(ok, F.lit(False)))
 
 
-def well_formed(payload: Column) -> Column:
-    """True for XML that can be read; null payloads are not."""
-    broken = F.from_xml(payload, f"{CORRUPT} string")[CORRUPT].isNotNull()
-    return payload.isNotNull() & ~broken
-
-
 def node_texts(payload: Column, path: str) -> Column:
-    """Texts of the nodes on an XPath, in document order; null where XML is malformed.
+    """Inner texts of the nodes on a path, in document order; null where XML is malformed.
 
-    XPath fails the whole job on malformed input, so only well-formed payloads
-    reach it.
+    There is one entry for each node: an empty node gives an empty text, and a node with
+    nodes inside gives the texts of all of them, joined.  ``path`` is ``/a/b`` from the root,
+    or ``//b`` from anywhere.  Spark's own XPath functions return text nodes, not nodes.
     """
-    return F.when(well_formed(payload), F.xpath(payload, F.lit(f"{path}/text()")))
+    anywhere, steps = path.startswith("//"), path.lstrip("/")
+
+    @F.pandas_udf("array<string>")
+    def texts(payloads: pd.Series) -> pd.Series:
+        return payloads.map(lambda p: inner_texts(p, steps, anywhere), na_action="ignore")
+
+    return texts(payload)
+
+
+def inner_texts(payload: str, steps: str, anywhere: bool) -> list[str] | None:
+    """What ``node_texts`` gives for one payload."""
+    try:
+        root = ElementTree.fromstring(payload)
+    except (ElementTree.ParseError, ValueError):
+        return None
+    document = ElementTree.Element("document")
+    document.append(root)
+    found = document.findall(f"{'.//' if anywhere else './'}{steps}")
+    return ["".join(node.itertext()) for node in found]
 
 
 def zipped_nodes(

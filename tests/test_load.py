@@ -96,6 +96,33 @@ def test_a_failed_load_leaves_the_table(spark, stored, source):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith(f"{stored}__")]
 
 
+def test_a_failed_swap_gives_the_name_back(spark, stored, source, monkeypatch):
+    real, calls = type(spark).sql, []
+
+    def sql(self, text, *args, **kwargs):
+        if text.endswith(f"RENAME TO {stored}") and not calls:
+            calls.append(text)
+            raise RuntimeError("no")
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    with pytest.raises(RuntimeError):
+        load.load_table(source, stored, "replace")
+    assert rows_of(spark.table(stored)) == sorted(TARGET, key=repr)
+
+
+def test_models_can_be_fitted_after_a_load(spark, stored, source):
+    from pyspark.ml.classification import LinearSVC, RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+
+    load.load_table(source, stored, "upsert", ["k"])
+    rows = spark.range(40).select((F.col("id") % 2).cast("double").alias("label"), F.col("id").cast("double").alias("x"))
+    train = VectorAssembler(inputCols=["label", "x"], outputCol="features").transform(rows)
+    for model in (RandomForestClassifier(numTrees=2), LinearSVC(maxIter=2)):
+        assert model.fit(train).transform(train).select("prediction").count() == 40
+
+
 def test_database_options():
     server = database.connection("sqlserver", "host", "db", "user", "secret")
     assert server["url"] == "jdbc:sqlserver://host:1433;databaseName=db"

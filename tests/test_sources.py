@@ -137,3 +137,10 @@ def test_page_elements(spark):
     values = pages.attribute_values(elements, "title", attribute="href")
     assert [r.value for r in values.collect()] == ["a > b"]
     assert page.select(text_of(F.col("html")).alias("t")).first().t == "one & two bold link <last"
+
+
+def test_node_texts_have_an_entry_for_each_node(spark):
+    rows = [(1, "<a><b>1</b><b/><b>3</b></a>"), (2, "<a><b>x<c>y</c>z&amp;</b></a>"), (3, "<a></b>")]
+    df = spark.createDataFrame(rows, "id int, payload string")
+    got = {r.id: r.n for r in df.select("id", payloads.node_texts(F.col("payload"), "/a/b").alias("n")).collect()}
+    assert got == {1: ["1", "", "3"], 2: ["xyz&"], 3: None}
