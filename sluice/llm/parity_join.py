@@ -38,7 +38,7 @@ SHINGLE = 5
 SIMILARITY_PCT = 80
 BUCKETS_PER_PARTITION = 2
 PAIRED_GROUP = 6
-CENTRES = 3
+CENTRES = 8
 SEEN = 1_000_000
 CHUNK = 1_000_000
 HINT_SHARE, HINT_LEAST, HINT_ONE_IN = 1000, 4, 32
@@ -399,12 +399,17 @@ def components(links: DataFrame) -> DataFrame:
 def across(members: DataFrame, roots: DataFrame, nodes: DataFrame, pct: int) -> DataFrame:
     """Pairs of different components within the large groups ``members`` (key, node), near enough by sketch.
 
-    Groups with the same least node, as the many blocks of one cluster have, are compared as one.
+    Groups with the same least node, as the many blocks of one cluster have, are compared as one, and
+    so are those that share a node with the group of a lesser one.
     """
     known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     keys = known.groupBy("key").agg((F.min("root") != F.max("root")).alias("mixed"), F.min("node").alias("leader"))
     led = known.join(keys.filter("mixed").select("key", "leader"), "key")
-    rows = led.select("leader", "node", "root").distinct().join(nodes, "node")
+    groups = stored(led.select("leader", "node", "root").distinct(), "mixed-groups")
+    low = groups.groupBy("node").agg(F.min("leader").alias("low"))
+    to = groups.join(low, "node").groupBy("leader").agg(F.min("low").alias("to"))
+    merged = groups.join(to, "leader").select(F.col("to").alias("leader"), "node", "root").distinct()
+    rows = merged.join(nodes, "node")
     rows = rows.select("leader", "node", "root", "n_shingles", "sketch")
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
