@@ -14,7 +14,7 @@ from sluice.session import cut_lineage
 
 MAX_SCORE = 6
 MIN_SIMILARITY = 0.8
-SETTINGS = tfidf.TfidfSettings(max_features=20_000)
+SETTINGS = tfidf.TfidfSettings()
 
 
 @query(
@@ -112,12 +112,12 @@ def word_ngrams_per_document(spark: SparkSession, sf: str) -> DataFrame:
     return tfidf.term_frequencies(tokenised(spark, sf))
 
 
-@query(f"with {S.DOCS}, {S.tfidf('docs', 1, 20_000)} select term, df, cf from stats")
+@query(f"with {S.DOCS}, {S.tfidf('docs', 1, 200_000)} select term, df, cf from stats")
 def term_stats(spark: SparkSession, sf: str) -> DataFrame:
     return tfidf.term_statistics(tfidf.term_frequencies(tokenised(spark, sf), n_max=1))
 
 
-@query(f"with {S.DOCS}, {S.tfidf('docs', 3, 20_000)} select term, df, cf from kept")
+@query(f"with {S.DOCS}, {S.tfidf('docs', 3, 200_000)} select term, df, cf from kept")
 def tfidf_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     docs = tokenised(spark, sf)
     stats = tfidf.term_statistics(tfidf.term_frequencies(docs))
@@ -125,7 +125,7 @@ def tfidf_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"with {S.DOCS}, {S.tfidf('docs', 3, 20_000)} "
+    f"with {S.DOCS}, {S.tfidf('docs', 3, 200_000)} "
     "select doc_id, term, round(weight, 6) as weight from weights"
 )
 def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,7 +136,7 @@ def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""with {S.DOCS}, {S.WORDS}, {S.VOCAB}, {S.REPRESENTATIVES}, {S.RESTORED_DOCS},
     scored as (select * from restored where ltr <= {MAX_SCORE}),
-    {S.tfidf('scored', 3, 20_000)}
+    {S.tfidf('scored', 3, 200_000)}
     select doc_id, term, round(weight, 6) as weight from weights"""
 )
 def topic_weights(spark: SparkSession, sf: str) -> DataFrame:
@@ -150,7 +150,7 @@ def topic_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""with {S.DOCS}, {S.tfidf('docs', 1, 20_000)},
+    f"""with {S.DOCS}, {S.tfidf('docs', 1, 200_000)},
     spelled as (select doc_id, string_agg(term || '=' || round(weight, 9), ' ' order by term) as v
       from weights group by doc_id),
     groups as (select min(doc_id) as rep, count(*) as n from spelled group by v),
@@ -162,14 +162,14 @@ def topic_weights(spark: SparkSession, sf: str) -> DataFrame:
 )
 def doc_cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Similar pairs of distinct documents, with the number of equal copies of each."""
-    settings = tfidf.TfidfSettings(n_max=1, max_features=20_000)
+    settings = tfidf.TfidfSettings(n_max=1)
     weights = tfidf.tfidf_weights(tokenised(spark, sf), settings=settings)
     pairs = similarity.cosine_pairs(weights, MIN_SIMILARITY)
     return pairs.withColumn("similarity", F.round("similarity", 6))
 
 
 @query(
-    f"""with {S.DOCS}, {S.tfidf('docs', 1, 20_000)},
+    f"""with {S.DOCS}, {S.tfidf('docs', 1, 200_000)},
     sums as (select lang, term, sum(weight) as total from weights join docs using (doc_id)
       group by lang, term),
     sizes as (select lang, count(*) as size from docs group by lang),
@@ -181,7 +181,7 @@ def doc_cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
 def lang_top_terms(spark: SparkSession, sf: str) -> DataFrame:
     """Top terms of each language's mean TF-IDF vector: a clustering with known groups."""
     docs = tokenised(spark, sf, "lang")
-    settings = tfidf.TfidfSettings(n_max=1, max_features=20_000)
+    settings = tfidf.TfidfSettings(n_max=1)
     weights = tfidf.tfidf_weights(docs, settings=settings)
     centroids = topics.centroid_terms(weights, docs.select("doc_id", "lang"), "lang")
     return topics.top_terms(centroids, "lang").withColumn("weight", F.round("weight", 6))
