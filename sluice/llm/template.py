@@ -1,15 +1,17 @@
 """Main text of web pages by equivalence classes of template tokens.
 
-A token is a tag with its path, or a text node with its path.  Tokens of a host with the same
-occurrence vector, that is, as often on each page as each other, form a class.  The
+A token is the start or end of a tag with its path, or a text node with its path.  Tokens of a host with
+the same occurrence vector, that is, as often on each page as each other, form a class.  The
 vectors are never written out: the sum over pages of count x H(page), modulo 2^64, is equal for
 equal vectors, and Spark adds it up per host and token with partial sums on the map
-side.  A class is valid if it occurs on enough pages and its tokens enclose one another in
-one order on each of them, which equal counts per path give.  Valid classes of tags, nested by their
-paths, are the host's template; what stands between its tokens are slots.
-
-A page's slots are grouped by the template path that holds them.  Template text that stands in no
-article is part of the template and dropped; slots below menus, headers, footers,
+side.  Copies of a page count once.  A class needs LEAST_PAGES pages and is valid if its tags come in rounds of
+one order, the same on each page, and its rounds and those of other classes lie inside each
+other or apart.  The tags of a class that is not valid are classes of their own.
+
+A text node belongs to the template if its vector is that of a valid class of tags, or if it
+fills the slot of its tag on LEAST_SHARE of that tag's pages.  In an article or main element this takes
+ARTICLE_PAGES pages, as its text may be repeated for other reasons.  What the template leaves are
+slots.  Those labelled by their elements as menus, headers, footers,
 sidebars, notices, adverts, forms, comments, scripts and styles are dropped; the
 others are the main text, those below an article or main element alone if there is one.
 """
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from sluice.llm.batches import slices, stored
 
 LEAST_PAGES = 3
+ARTICLE_PAGES = 8
 LEAST_SHARE = 0.5
 TOKENS = 400_000
 MAX_BROADCAST_BYTES = 32 << 20
@@ -106,9 +109,12 @@ class Block:
 
 
 def parse_page(page: str) -> tuple[list[str], list[Block]]:
-    """The page's tag tokens (paths) and its blocks of text, in page order."""
+    """The page's tag tokens and its blocks of text, in page order.
+
+    A tag's start is its path, and its end the path after a "\\0"; the page itself has the empty path.
+    """
     root = Node("", "", False, False)
-    stack, tokens, blocks, held = [root], [], [], []
+    stack, tokens, blocks, held = [root], [""], [], []
 
     def flush() -> None:
         if held:
@@ -121,6 +127,7 @@ def parse_page(page: str) -> tuple[list[str], list[Block]]:
 
     def pop(index: int) -> None:
         flush()
+        tokens.extend(f"\0{n.path}" for n in reversed(stack[index:]) if n.name not in INLINE)
         del stack[index:]
 
     at = 0
@@ -177,8 +184,8 @@ def parse_page(page: str) -> tuple[list[str], list[Block]]:
             if name in RAW:
                 stop = TAG.match(page, at)
                 at = stop.end() if stop else len(page)
-                stack.pop()
-    flush()
+                pop(len(stack) - 1)
+    pop(0)
     return tokens, blocks
 
 
@@ -190,50 +197,97 @@ def token_hash(path: str, text: str | None = None) -> int:
 def main_text(page: str, template: frozenset[int]) -> str:
     """The blocks of the main slots, joined by two line breaks.
 
-    ``template`` has the hashes of the host's template tokens.  Its text is dropped outside of
-    articles; a block inside of one is always content.
+    ``template`` has the hashes of the host's template texts; what they leave are slots.
     """
     _, blocks = parse_page(page)
     kept = [b for b in blocks if not b.dropped]
     if any(b.main for b in kept):
         kept = [b for b in kept if b.main]
-    elif template:
+    if template:
         kept = [b for b in kept if token_hash(b.path, b.text) not in template]
     return "\n\n".join(b.text for b in kept)
 
 
-def occurrence_vectors(pages: DataFrame) -> DataFrame:
-    """``(host, token, vector, pages)``: for each token of a host the fingerprint of its vector.
+def _signed(values: list[int]) -> np.ndarray:
+    return np.array(values, np.uint64).astype(np.int64)
+
+
+def page_tokens(pages: DataFrame) -> DataFrame:
+    """``(host, page_key, tags, texts, holders, main)``: the tokens of the different pages of a host.
+
+    ``tags`` are in page order; ``texts`` are text nodes not dropped by label, each with the tag that holds it and
+    whether that is in an article.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: dict[str, int] = {}
+        for batch in slices(batches):
+            columns: list[list] = [[] for _ in names[1:]]
+            for page in batch.column("html").to_pylist():
+                tags, blocks = parse_page(page or "")
+                if len(numbers) >= TOKENS:
+                    numbers.clear()
+                for path in tags:
+                    if path not in numbers:
+                        numbers[path] = token_hash(path)
+                own = _signed([numbers[path] for path in tags])
+                blocks = [b for b in blocks if not b.dropped]
+                texts = _signed([token_hash(b.path, b.text) for b in blocks])
+                columns[0].append(xxhash.xxh3_64_intdigest(own.tobytes() + texts.tobytes()))
+                columns[1].append(own)
+                columns[2].append(texts)
+                columns[3].append(_signed([numbers.get(b.path) or token_hash(b.path) for b in blocks]))
+                columns[4].append([b.main for b in blocks])
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("host"), pa.array(_signed(columns[0])), *(pa.array(c, longs) for c in columns[1:4]),
+                    pa.array(columns[4], pa.list_(pa.bool_())),
+                ],
+                names,
+            )
+
+    names = ["host", "page_key", "tags", "texts", "holders", "main"]
+    schema = "host string, page_key long, tags array<long>, texts array<long>, holders array<long>, main array<boolean>"
+    return pages.select("host", "html").mapInArrow(run, schema).dropDuplicates(["host", "page_key"])
+
+
+def occurrence_vectors(tokens: DataFrame) -> DataFrame:
+    """``(host, token, holder, main, vector, pages)``: for each token of a host the fingerprint of its vector.
 
-    ``pages`` has (host, page_key, html).  Tasks add up what they have seen of a host
+    ``tokens`` is from ``page_tokens``.  ``holder`` is null for tags.  Tasks add up what they have seen of a host
     before they send it.
     """
 
-    def out(found: dict[tuple[str, int], list[int]]) -> Iterator[pa.RecordBatch]:
+    def out(found: dict[tuple[str, int], list]) -> Iterator[pa.RecordBatch]:
         keys, values = list(found), list(found.values())
         for i in range(0, len(keys), 50_000):
             own, sums = keys[i : i + 50_000], values[i : i + 50_000]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([h for h, _ in own], pa.string()),
-                    pa.array(np.array([t for _, t in own], np.uint64).astype(np.int64)),
+                    pa.array([t for _, t in own], pa.int64()),
+                    pa.array([v[2] for v in sums], pa.int64()),
+                    pa.array([v[3] for v in sums], pa.bool_()),
                     pa.array(np.array([v[0] & 0xFFFFFFFF for v in sums], np.int64)),
                     pa.array(np.array([v[0] >> 32 & 0xFFFFFFFF for v in sums], np.int64)),
                     pa.array(np.array([v[1] for v in sums], np.int64)),
                 ],
-                ["host", "token", "low", "high", "pages"],
+                ["host", "token", "holder", "main", "low", "high", "pages"],
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[str, int], list[int]] = {}
+        found: dict[tuple[str, int], list] = {}
         for batch in slices(batches):
-            hosts, keys, texts = (batch.column(c).to_pylist() for c in ("host", "page_key", "html"))
-            for host, key, page in zip(hosts, keys, texts, strict=True):
-                tags, blocks = parse_page(page or "")
-                counts = Counter(map(token_hash, tags))
-                counts.update(token_hash(b.path, b.text) for b in blocks if not b.main)
+            columns = (batch.column(c).to_pylist() for c in ("host", "page_key", "tags", "texts", "holders", "main"))
+            for host, key, tags, texts, holders, main in zip(*columns, strict=True):
+                kinds = dict(zip(texts, zip(holders, main, strict=True), strict=True))
+                counts = Counter(tags)
+                counts.update(texts)
                 for token, times in counts.items():
-                    entry = found.setdefault((host, token), [0, 0])
+                    entry = found.get((host, token))
+                    if entry is None:
+                        entry = found[host, token] = [0, 0, *kinds.get(token, (None, False))]
                     entry[0] += times * (key & 0xFFFFFFFFFFFFFFFF)
                     entry[1] += 1
             if len(found) >= TOKENS:
@@ -241,26 +295,123 @@ def occurrence_vectors(pages: DataFrame) -> DataFrame:
                 found = {}
         yield from out(found)
 
-    rows = pages.mapInArrow(run, "host string, token long, low long, high long, pages long")
-    # Both halves stay below 2^63 for 2^31 partial sums, so that no sum overflows.
+    rows = tokens.mapInArrow(
+        run, "host string, token long, holder long, main boolean, low long, high long, pages long"
+    )
+    # Both halves stay below 2^63 for 2^31 partial sums, so that no sum overflows; their own
+    # sum is taken modulo 2^64, as tasks may cut the pages in other ways.
     sums = rows.groupBy("host", "token").agg(
-        F.sum("low").alias("low"), F.sum("high").alias("high"), F.sum("pages").alias("pages")
+        F.min("holder").alias("holder"), F.max("main").alias("main"), F.sum("low").alias("low"),
+        F.sum("high").alias("high"), F.sum("pages").alias("pages"),
     )
-    return sums.select("host", "token", F.xxhash64("low", "high").alias("vector"), "pages")
+    carry = F.shiftrightunsigned("low", 32)
+    mask = F.lit(0xFFFFFFFF)
+    vector = F.shiftleft((F.col("high") + carry).bitwiseAND(mask), 32).bitwiseOR(F.col("low").bitwiseAND(mask))
+    return sums.select("host", "token", "holder", "main", vector.alias("vector"), "pages")
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """``(host, tokens)``: the tokens of the valid classes of each host with several pages.
+def rounds(tags: list[int], classes: dict[int, int]) -> dict[int, tuple[int, bool]]:
+    """For each class on a page the hash of its tags' order, and whether its rounds have that order and nest.
 
-    A class counts if it occurs on LEAST_PAGES pages and on LEAST_SHARE of the host's.  As its tokens
-    stand on the same pages, it has no more of them than one page has.
+    ``classes`` gives the vector of each tag.
     """
-    vectors = occurrence_vectors(pages).filter(F.col("pages") >= LEAST_PAGES)
-    sizes = pages.groupBy("host").count()
+    own: dict[int, list[int]] = {}
+    for tag in tags:
+        if tag in classes:
+            own.setdefault(classes[tag], []).append(tag)
+    order, good = {}, {}
+    for vector, found in own.items():
+        first = list(dict.fromkeys(found))
+        order[vector] = first
+        good[vector] = first * (len(found) // len(first)) == found
+    size = {v: len(o) for v, o in order.items()}
+    held: list[list[int]] = []
+    open_rounds: set[int] = set()
+    for tag in tags:
+        vector = classes.get(tag)
+        if vector is None or not good[vector]:
+            continue
+        if vector in open_rounds:
+            # Rounds that began inside of this one and are not over cross it.
+            while held[-1][0] != vector:
+                crossing = held.pop()[0]
+                open_rounds.discard(crossing)
+                good[crossing] = False
+            held[-1][1] += 1
+        else:
+            held.append([vector, 1])
+            open_rounds.add(vector)
+        if held[-1][1] == size[vector]:
+            held.pop()
+            open_rounds.discard(vector)
+    return {
+        v: (xxhash.xxh3_64_intdigest(np.array(order[v], np.int64).tobytes()) & 0x7FFFFFFFFFFFFFFF, good[v])
+        for v in order
+    }
+
+
+def _with_host(rows: DataFrame, found: DataFrame, column: str) -> DataFrame:
+    """``rows`` with the list of their host, broadcast if all have under MAX_BROADCAST_BYTES."""
+    size = found.agg(F.coalesce(F.sum(F.size(column)), F.lit(0))).first()[0] * 8
+    return rows.join(F.broadcast(found) if size < MAX_BROADCAST_BYTES else found, "host", "left")
+
+
+def valid_classes(tokens: DataFrame, tags: DataFrame) -> DataFrame:
+    """``(host, vector)`` of the classes of ``tags`` (host, token, vector) that are valid on all pages."""
+    listed = tags.groupBy("host").agg(
+        F.flatten(F.collect_list(F.array("token", "vector"))).alias("classes")
+    )
+    listed = stored(listed, "classes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, dict[int, int]] = {}
+        found: dict[tuple[str, int], list] = {}
+        for batch in slices(batches, 64):
+            listed = batch.column("classes")
+            columns = (batch.column(c).to_pylist() for c in ("host", "tags"))
+            for i, (host, own) in enumerate(zip(*columns, strict=True)):
+                if host not in known:
+                    if len(known) >= 1000:
+                        known.clear()
+                    pairs = listed[i].as_py() or []
+                    known[host] = dict(zip(pairs[::2], pairs[1::2], strict=True))
+                for vector, (order, good) in rounds(own, known[host]).items():
+                    entry = found.setdefault((host, vector), [order, order, True])
+                    entry[:] = min(entry[0], order), max(entry[1], order), entry[2] and good
+            if len(found) >= TOKENS:
+                yield out(found)
+                found = {}
+        yield out(found)
+
+    def out(found: dict[tuple[str, int], list]) -> pa.RecordBatch:
+        arrays = [
+            pa.array([h for h, _ in found], pa.string()), pa.array([v for _, v in found], pa.int64()),
+            *(pa.array([e[i] for e in found.values()], pa.int64()) for i in range(2)),
+            pa.array([e[2] for e in found.values()], pa.bool_()),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, ["host", "vector", "least", "most", "good"])
+
+    rows = _with_host(tokens.select("host", "tags"), listed, "classes").mapInArrow(
+        run, "host string, vector long, least long, most long, good boolean"
+    )
+    checked = rows.groupBy("host", "vector").agg(
+        (F.min("good") & (F.min("least") == F.max("most"))).alias("valid")
+    )
+    return checked.filter("valid").select("host", "vector")
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """``(host, tokens)``: the template texts of each host of ``pages`` (host, html)."""
+    tokens = stored(page_tokens(pages), "page-tokens")
+    vectors = stored(occurrence_vectors(tokens).filter(F.col("pages") >= LEAST_PAGES), "vectors")
+    tags = vectors.filter("holder is null")
+    texts = vectors.filter("holder is not null").filter(~F.col("main") | (F.col("pages") >= ARTICLE_PAGES))
+    valid = valid_classes(tokens, tags.select("host", "token", "vector")).withColumn("valid", F.lit(True))
+    held = tags.select("host", F.col("token").alias("holder"), F.col("pages").alias("held"))
     return (
-        vectors.join(sizes, "host").filter(F.col("pages") >= F.col("count") * LEAST_SHARE)
-        .groupBy("host", "vector").agg(F.collect_list("token").alias("tokens"))
-        .groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
+        texts.join(valid, ["host", "vector"], "left").join(held, ["host", "holder"], "left")
+        .filter(F.col("valid") | (F.col("pages") >= F.col("held") * LEAST_SHARE))
+        .groupBy("host").agg(F.collect_list("token").alias("tokens"))
     )
 
 
@@ -279,10 +430,7 @@ def extract_pages(
         F.col(f"`{id_column}`").cast("long").alias("page_id"), url.alias("url"),
         F.col(f"`{html_column}`").alias("html"), host.alias("host"),
     )
-    keyed = narrow.select("host", F.xxhash64("page_id", "url", "html").alias("page_key"), "html")
-    found = stored(templates(keyed), "templates")
-    size = found.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0] * 8
-    joined = narrow.join(F.broadcast(found) if size < MAX_BROADCAST_BYTES else found, "host", "left")
+    joined = _with_host(narrow, stored(templates(narrow), "templates"), "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, frozenset[int]] = {}

@@ -269,6 +269,29 @@ def test_pages(spark):
     assert template.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_classes_decide_inside_articles(spark):
+    page = "<html><body><article><p>Story {0}</p><div>Read more of us</div><p>End {0}</p></article></body></html>"
+    copied = "<html><body><article><h2>Copied head</h2><p>Copied story</p></article></body></html>"
+    rows = [(i, "http://a.org/x", page.format(i)) for i in range(10)]
+    rows += [(100 + i, "http://a.org/y", copied) for i in range(10)]
+    rows += [(200 + i, f"http://b.org/{i}", page.format(i)) for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in template.extract_pages(pages).collect()}
+    assert got[3] == "Story 3\n\nEnd 3"
+    assert got[103] == "Copied head\n\nCopied story"
+    assert got[203] == "Story 3\n\nRead more of us\n\nEnd 3"
+
+
+def test_rounds_of_classes():
+    # Class 7 keeps its order in both rounds, 8 does not, and 9 crosses 7.
+    assert [g for _, g in template.rounds([1, 2, 1, 2], {1: 7, 2: 7}).values()] == [True]
+    assert [g for _, g in template.rounds([3, 4, 4, 3], {3: 8, 4: 8}).values()] == [False]
+    crossing = template.rounds([1, 5, 2, 6], {1: 7, 2: 7, 5: 9, 6: 9})
+    assert (crossing[7][1], crossing[9][1]) == (True, False)
+    nested = template.rounds([1, 5, 6, 5, 6, 2], {1: 7, 2: 7, 5: 9, 6: 9})
+    assert all(g for _, g in nested.values())
+
+
 def test_nearest_vectors(spark):
     rng = np.random.default_rng(6)
     points = rng.standard_normal((600, 16)) * rng.uniform(0.5, 2, (600, 1))
