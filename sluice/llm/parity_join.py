@@ -16,9 +16,10 @@ Groups.  Equal sets are one node, whatever the number of their texts.  In a smal
 equal blocks all pairs are candidates; in a large one all sets are paired with one of them
 that is drawn by the block.  Candidates are dropped if their folded sketches are too far apart, and
 else verified on the whole sets.  Verified links give components.  Large groups
-that then still hold several components, which are few, are compared pair by pair
-across components, with the sketches, and what is left is verified too.  Thus no link between two components is
-lost, and a group of near copies costs its size and not its square.
+that then still hold several components are compared across components, with the sketches, and what is
+left is verified too.  Of two nodes of different components one at least is outside the group's largest
+component, so that only those nodes meet the others, in blocks of bounded size.  Thus no link between
+two components is lost, and a group costs its size times its nodes outside the largest component.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ SEEN = 1_000_000
 CHUNK = 1_000_000
 HINT_SHARE, HINT_LEAST, HINT_ONE_IN = 1000, 4, 32
 MAX_BROADCAST_IDS = 2_000_000
-COMPARED = 4_000_000
+BLOCK_NODES = 1000
 
 
 def shingles_of(text: str, width: int = SHINGLE) -> np.ndarray:
@@ -396,6 +397,33 @@ def components(links: DataFrame) -> DataFrame:
     return new.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def compared_blocks(merged: DataFrame) -> DataFrame:
+    """``(leader, i, j, minor, main, node, root)``: the rows that are compared, in blocks (leader, i, j).
+
+    ``merged`` has the groups (leader, node, root).  A block has about BLOCK_NODES nodes outside the
+    group's largest component (minor) and as many of all its nodes; ``main`` says that a node is in that component.
+    """
+    counts = merged.groupBy("leader", "root").count()
+    sizes = counts.groupBy("leader").agg(
+        F.max(F.struct("count", "root")).alias("top"), F.sum("count").alias("every")
+    ).select(
+        "leader", F.col("top.root").alias("largest"),
+        F.ceil(F.col("every") / BLOCK_NODES).cast("int").alias("columns"),
+        F.ceil((F.col("every") - F.col("top.count")) / BLOCK_NODES).cast("int").alias("lines"),
+    ).filter("lines > 0")
+    sized = merged.join(sizes, "leader").withColumn("main", F.col("root") == F.col("largest"))
+    dealt = F.xxhash64("node")
+    minor = sized.filter("not main").select(
+        "leader", F.pmod(dealt, "lines").cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"), F.lit(True).alias("minor"), "main", "node", "root",
+    )
+    every = sized.select(
+        "leader", F.explode(F.sequence(F.lit(0), F.col("lines") - 1)).alias("i"),
+        F.pmod(dealt, "columns").cast("int").alias("j"), F.lit(False).alias("minor"), "main", "node", "root",
+    )
+    return minor.union(every)
+
+
 def across(members: DataFrame, roots: DataFrame, nodes: DataFrame, pct: int) -> DataFrame:
     """Pairs of different components within the large groups ``members`` (key, node), near enough by sketch.
 
@@ -409,31 +437,37 @@ def across(members: DataFrame, roots: DataFrame, nodes: DataFrame, pct: int) ->
     low = groups.groupBy("node").agg(F.min("leader").alias("low"))
     to = groups.join(low, "node").groupBy("leader").agg(F.min("low").alias("to"))
     merged = groups.join(to, "leader").select(F.col("to").alias("leader"), "node", "root").distinct()
-    rows = merged.join(nodes, "node")
-    rows = rows.select("leader", "node", "root", "n_shingles", "sketch")
+    rows = compared_blocks(stored(merged, "merged-groups")).join(nodes, "node")
+    rows = rows.select("leader", "i", "j", "minor", "main", "node", "root", "n_shingles", "sketch")
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        node, root = rows.column("node").to_pylist(), rows.column("root").to_pylist()
-        sketch = rows.column("sketch").to_pylist()
-        n = rows.column("n_shingles").to_numpy()
-        number = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]
-        fold = min(map(len, sketch))
-        short = np.stack(
-            [np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, fold // 8), axis=0) for s in sketch]
-        )
+        minor = rows.column("minor").to_numpy()
+        node, root = (np.array(rows.column(c).to_pylist(), object) for c in ("node", "root"))
+        main, n = rows.column("main").to_numpy(), rows.column("n_shingles").to_numpy()
+        sketch = [np.frombuffer(s, np.uint64) for s in rows.column("sketch").to_pylist()]
+        words = np.array([len(s) for s in sketch])
+        every = {
+            w: (at := np.flatnonzero(~minor & (words == w)), np.stack([sketch[k] for k in at]))
+            for w in np.unique(words[~minor]).tolist()
+        }
         left, right = [], []
-        for i in range(len(node) - 1):
-            rest = slice(i + 1, None)
-            ok = (number[rest] != number[i]) & (n[rest] * 100 >= n[i] * pct) & (n[i] * 100 >= n[rest] * pct)
-            j = np.flatnonzero(ok) + i + 1
-            far = np.bitwise_count(short[j] ^ short[i]).sum(axis=1)
-            for k in j[far * (100 + pct) <= (n[i] + n[j]) * (100 - pct)]:
-                if sketch_distance(sketch[i], sketch[k]) * (100 + pct) <= (n[i] + n[k]) * (100 - pct):
+        for i in np.flatnonzero(minor):
+            for w, (at, wide) in every.items():
+                # Pairs outside the largest component stand in two blocks, or twice in one.
+                ok = (root[at] != root[i]) & (main[at] | (node[at] > node[i]))
+                near = np.flatnonzero(ok & (n[at] * 100 >= n[i] * pct) & (n[i] * 100 >= n[at] * pct))
+                if not len(near):
+                    continue
+                fold = min(w, words[i])
+                own = np.bitwise_xor.reduce(sketch[i].reshape(-1, fold), axis=0)
+                short = np.bitwise_xor.reduce(wide[near].reshape(len(near), -1, fold), axis=1)
+                far = np.bitwise_count(short ^ own).sum(axis=1, dtype=np.int64)
+                for k in at[near[far * (100 + pct) <= (n[i] + n[at[near]]) * (100 - pct)]]:
                     left.append(min(node[i], node[k]))
                     right.append(max(node[i], node[k]))
         return pa.table([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["left", "right"])
 
-    return rows.groupBy("leader").applyInArrow(run, "left binary, right binary").distinct()
+    return rows.groupBy("leader", "i", "j").applyInArrow(run, "left binary, right binary").distinct()
 
 
 def similar_texts(

@@ -167,6 +167,36 @@ def test_similar_texts_equal_brute_force(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components_of(rows)
 
 
+def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(parity_join, "BLOCK_NODES", 20)
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**63, 300, np.uint64)
+    sets, roots = [], []
+    for i in range(400):
+        own = base.copy()
+        own[: rng.integers(0, 40)] ^= np.uint64(i + 1)
+        sets.append(np.unique(own[: 300 - int(rng.integers(0, 60))]))
+        roots.append(0 if i < 300 else 300 + i % 7 if i < 350 else i)
+    names = [parity_join.fingerprint(s) for s in sets]
+    root = [min(names[j] for j in range(400) if roots[j] == r) for r in roots]
+    nodes = [(n, len(s), parity_join.sketch_of(s)) for n, s in zip(names, sets, strict=True)]
+    want = set()
+    for i in range(400):
+        for j in range(i):
+            (x, n, a), (y, m, b) = nodes[i], nodes[j]
+            if root[i] != root[j] and 100 * min(n, m) >= 80 * max(n, m) and parity_join.sketch_distance(a, b) * 180 <= (n + m) * 20:
+                want.add((min(x, y), max(x, y)))
+    known = spark.createDataFrame(list(zip(names, root, strict=True)), "node binary, root binary")
+    members = known.select(F.explode(F.expr("array(1L, 2L)")).alias("key"), "node")
+    table = spark.createDataFrame(nodes, "node binary, n_shingles long, sketch binary")
+    got = parity_join.across(members, known, table, 80).collect()
+    assert len(got) == len(want) > 1000 and {(bytes(r.left), bytes(r.right)) for r in got} == want
+    blocks = parity_join.compared_blocks(known.withColumn("leader", F.lit(1)))
+    assert blocks.groupBy("leader", "i", "j").count().agg(F.max("count")).first()[0] < 100
+    one = blocks.sparkSession.createDataFrame([(1, b"a", b"a"), (1, b"b", b"a"), (1, b"c", b"c")], "leader int, node binary, root binary")
+    assert parity_join.compared_blocks(one).filter("minor").count() == 1
+
+
 def test_pii_base_spans_equal_plain_patterns():
     rng = np.random.default_rng(2)
     for _ in range(3000):
