@@ -22,6 +22,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import public_tokenizers
@@ -231,6 +232,21 @@ class Encoder:
                     heapq.heappush(queue, (cost + own[ranks[j]][0] - own[after[j]][0], after))
         return ids, [total - c for c in costs], changes
 
+    def all_ids(self, text: str, ids: bytes, changes: list[dict[int, Path]]) -> list[bytes]:
+        """Ids of the N best segmentations, from what ``encode`` gave."""
+        if len(changes) == 1:
+            return [ids]
+        own = [self.known[s][1] for s in (SEGMENT.findall(" " + text) if text else [])]
+        starts = [0, *accumulate(map(len, own))]
+        out = []
+        for change in changes:
+            parts, at = [], 0
+            for k in sorted(change):
+                parts += [ids[at : starts[k]], array("I", change[k][1]).tobytes()]
+                at = starts[k + 1]
+            out.append(b"".join([*parts, ids[at:]]))
+        return out
+
     def n_best(self, text: str) -> list[tuple[float, list[int]]]:
         """The N best segmentations of a text in full."""
         segments = SEGMENT.findall(" " + text) if text else []
@@ -251,11 +267,12 @@ def encode_documents(
     n_best: int = N_BEST,
     with_ids: bool = True,
 ) -> DataFrame:
-    """``(doc_id, n_pieces, scores, ids_crc32, decoded[, ids])`` of each document.
+    """``(doc_id, n_pieces, scores, ids_crc32, decoded, all_pieces, all_crc32[, ids, all_ids])`` of each document.
 
     ``scores`` are those of the N best segmentations of the whole text, fewer if it has fewer;
     ``ids`` are the best one's, as little-endian unsigned 32-bit numbers, and ``decoded`` says that
-    decoding them gave the text.  A null text is an empty one, which has no pieces and one
+    decoding them gave the text.  ``all_pieces``, ``all_crc32`` and ``all_ids`` have number of pieces, digest and
+    ids of each of the N, best first.  A null text is an empty one, which has no pieces and one
     segmentation of score 0.  Null ids and repeated rows stay as they are, an empty table
     gives no rows, and other columns are not looked at.
     """
@@ -264,21 +281,27 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, n_best)
         pieces = encoder.pieces
+        longs = pa.list_(pa.int64())
+        kinds = [pa.int64(), pa.list_(pa.float64()), pa.int64(), pa.bool_(), longs, longs, pa.binary(), pa.list_(pa.binary())]
+        kinds = kinds[: len(names) - 1]
         for batch in slices(batches):
             rows = []
             for text in texts_of(batch, "text"):
-                ids, scores, _ = encoder.encode(text)
+                ids, scores, changes = encoder.encode(text)
+                every = encoder.all_ids(text, ids, changes)
+                sizes, digests = [len(x) // 4 for x in every], [zlib.crc32(x) for x in every]
                 same = pieces.decode(memoryview(ids).cast("I")) == text
-                rows.append((len(ids) // 4, scores, zlib.crc32(ids), same, ids))
-            kinds = [pa.int64(), pa.list_(pa.float64()), pa.int64(), pa.bool_(), pa.binary()]
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)][: len(names) - 1]
+                rows.append((sizes[0], scores, digests[0], same, sizes, digests, ids, every)[: len(kinds)])
+            columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names)
 
-    names = ["doc_id", "n_pieces", "scores", "ids_crc32", "decoded", "ids"][: 6 if with_ids else 5]
-    schema = "doc_id long, n_pieces long, scores array<double>, ids_crc32 long, decoded boolean"
+    names = ["doc_id", "n_pieces", "scores", "ids_crc32", "decoded", "all_pieces", "all_crc32", "ids", "all_ids"]
+    names = names[: 9 if with_ids else 7]
+    schema = "doc_id long, n_pieces long, scores array<double>, ids_crc32 long, decoded boolean, "
+    schema += "all_pieces array<long>, all_crc32 array<long>"
     narrow = docs.selectExpr(f"cast(`{id_column}` as long) as doc_id", f"`{text_column}` as text")
-    return narrow.mapInArrow(run, schema + ", ids binary" * with_ids)
+    return narrow.mapInArrow(run, schema + ", ids binary, all_ids array<binary>" * with_ids)
 
 
 def decode_documents(encoded: DataFrame, *, model_path: str | None = None) -> DataFrame:

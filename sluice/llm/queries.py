@@ -30,7 +30,7 @@ URL_RULES = [
 
 
 def op1_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four best segmentations of each text: their scores, and size and digest of the best."""
+    """The four best segmentations of each text: score, size and digest of each."""
     return encode_documents(table_at(spark, sf_dir, "documents"), with_ids=False)
 
 

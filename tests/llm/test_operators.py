@@ -382,3 +382,14 @@ def test_encode_and_decode(docs, empty):
     assert coded.filter("decoded").count() == len(TEXTS) and pieces.encode_documents(empty).count() == 0
     texts = sorted((repr(r.doc_id), r.text) for r in pieces.decode_documents(coded).collect())
     assert texts == sorted((repr(i), t or "") for i, t in TEXTS)
+
+
+def test_every_segmentation_is_returned(docs):
+    encoder = pieces.Encoder(public_tokenizers.path("piece_bpe_32k.model"), 4)
+    short = pieces.encode_documents(docs, with_ids=False).columns
+    for r in pieces.encode_documents(docs).join(docs.select("doc_id", "text"), "doc_id").collect():
+        want = [np.array(ids, "<u4").tobytes() for _, ids in encoder.n_best(r.text or "")]
+        assert [bytes(x) for x in r.all_ids] == want and len(r.scores) == len(want)
+        assert r.all_pieces == [len(x) // 4 for x in want] and r.all_crc32 == [zlib.crc32(x) for x in want]
+        assert bytes(r.ids) == want[0]
+    assert {"all_pieces", "all_crc32"} <= set(short)
