@@ -12,8 +12,10 @@ from sluice.llm.best_fit import pack_documents
 from sluice.llm.lm_bloom import lm_scores
 from sluice.llm.multi_index import nearest_vectors
 from sluice.llm.parity_join import similar_texts
+from sluice.llm.phrases import collocations
 from sluice.llm.pieces import encode_documents
 from sluice.llm.pii_anchors import pii_spans
+from sluice.llm.quotient_dedup import exact_copies
 from sluice.llm.repetition import repetition_figures
 from sluice.llm.template import extract_pages
 from sluice.llm.toxicity import fit, severity
@@ -84,6 +86,16 @@ def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_vectors(table_at(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op12_counting_quotient_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of equal texts stays."""
+    return exact_copies(table_at(spark, sf_dir, "documents"))
+
+
+def op13_multikey_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language."""
+    return collocations(table_at(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -96,7 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_sentencepiece_nbest, op2_suffix_array_repetition, op3_bloom_cascade_urls, op4_log_frequency_bloom_lm,
         op5_parity_sketch_join, op6_anchor_expansion_pii, op7_best_fit_decreasing, op8_ordinal_toxicity,
-        op9_equivalence_class_templates, op10_multi_index_hashing, pipeline,
+        op9_equivalence_class_templates, op10_multi_index_hashing, op12_counting_quotient_dedup, op13_multikey_phrases, pipeline,
     )
 }
 
@@ -171,4 +183,58 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
-ORACLES: dict[str, str] = {"op2_suffix_array_repetition": OP2_SQL, "op3_bloom_cascade_urls": OP3_SQL}
+OP12_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), g AS (
+  SELECT doc_id, text, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(text) AS text_sha256 FROM g
+"""
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), pieces AS (
+  SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w, row_number() OVER () AS p FROM pieces
+), rows AS (
+  SELECT lang, p, unnest(w) AS w, unnest(range(len(w))) AS i FROM words
+), follow AS (
+  SELECT lang, w AS w1, lead(w, 1) OVER q AS w2, lead(w, 2) OVER q AS w3 FROM rows WINDOW q AS (PARTITION BY p ORDER BY i)
+), f AS (
+  SELECT lang, 1 AS k, w1 AS phrase, count(*)::HUGEINT AS n FROM follow GROUP BY ALL
+  UNION ALL
+  SELECT lang, 2, w1 || ' ' || w2, count(*) FROM follow WHERE w2 IS NOT NULL GROUP BY ALL
+  UNION ALL
+  SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM follow WHERE w3 IS NOT NULL GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY lang
+), cand AS (
+  SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND n >= 10
+), cuts AS (
+  SELECT c.lang, c.k, c.phrase, a, cut, x.n AS l, y.n AS r, (1000000 * a * a) // (x.n * y.n) AS score
+  FROM (
+    SELECT lang, k, phrase, a, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand)
+  ) c JOIN f x ON x.lang = c.lang AND x.phrase = head JOIN f y ON y.lang = c.lang AND y.phrase = tail
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), around AS (
+  SELECT lang, part, max(a) AS a
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM cand WHERE k = 3)
+  GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM lowest c LEFT JOIN around o ON o.lang = c.lang AND o.part = c.phrase
+  WHERE o.a IS NULL OR 100 * o.a < 50 * c.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, totals.n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_suffix_array_repetition": OP2_SQL, "op3_bloom_cascade_urls": OP3_SQL,
+    "op12_counting_quotient_dedup": OP12_SQL, "op13_multikey_phrases": OP13_SQL,
+}
