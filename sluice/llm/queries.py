@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.batches import table_at
 from sluice.llm.best_fit import pack_documents
+from sluice.llm.cover_tree import hard_negatives
 from sluice.llm.lm_bloom import lm_scores
 from sluice.llm.multi_index import nearest_vectors
 from sluice.llm.parity_join import similar_texts
@@ -86,6 +87,12 @@ def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_vectors(table_at(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of the five positives of each hundredth vector."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table_at(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
 def op12_counting_quotient_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which of equal texts stays."""
     return exact_copies(table_at(spark, sf_dir, "documents"))
@@ -108,7 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_sentencepiece_nbest, op2_suffix_array_repetition, op3_bloom_cascade_urls, op4_log_frequency_bloom_lm,
         op5_parity_sketch_join, op6_anchor_expansion_pii, op7_best_fit_decreasing, op8_ordinal_toxicity,
-        op9_equivalence_class_templates, op10_multi_index_hashing, op12_counting_quotient_dedup, op13_multikey_phrases, pipeline,
+        op9_equivalence_class_templates, op10_multi_index_hashing, op11_cover_tree_negatives, op12_counting_quotient_dedup, op13_multikey_phrases, pipeline,
     )
 }
 
@@ -183,6 +190,28 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), negatives AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM positives JOIN scores USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
+"""
+
 OP12_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), g AS (
   SELECT doc_id, text, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size FROM d
@@ -236,5 +265,5 @@ FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 
 ORACLES: dict[str, str] = {
     "op2_suffix_array_repetition": OP2_SQL, "op3_bloom_cascade_urls": OP3_SQL,
-    "op12_counting_quotient_dedup": OP12_SQL, "op13_multikey_phrases": OP13_SQL,
+    "op11_cover_tree_negatives": OP11_SQL, "op12_counting_quotient_dedup": OP12_SQL, "op13_multikey_phrases": OP13_SQL,
 }
