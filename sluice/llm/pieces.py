@@ -22,6 +22,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import pyarrow as pa
@@ -33,7 +34,7 @@ from sluice.llm.batches import slices, texts_of
 
 N_BEST = 4
 MARK = "▁"
-CACHED = 300_000
+CACHED = 400_000
 LONGEST_CACHED = 32
 UNKNOWN_COST = 10.0
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
@@ -206,18 +207,22 @@ class Encoder:
         self.pieces, self.n = Pieces(path), n
         self.known = Segments(self.pieces)
 
-    def encode(self, text: str) -> tuple[bytes, list[float], list[dict[int, Path]]]:
-        """Ids of the best segmentation, scores of the N best, and what each of these changes.
+    def encode(self, text: str) -> tuple[list[bytes], list[float], list[dict[int, Path]]]:
+        """Ids of each segment's best segmentation, scores of the text's N best, and what each of these changes.
 
         A change names the number of a segment and its own segmentation.
         """
         segments = SEGMENT.findall(" " + text) if text else []
-        parts = list(map(self.known.__getitem__, segments))
-        ids = b"".join([p[1] for p in parts])
-        total = sum([p[0] for p in parts])
-        closest = heapq.nsmallest(self.n - 1, zip([p[2] for p in parts], range(len(parts)), strict=True))
-        closest = [i for gap, i in closest if gap < float("inf")]
+        if not segments:
+            return [], [0.0], [{}]
+        scores, own, gaps = zip(*map(self.known.__getitem__, segments), strict=True)
+        closest = []
+        if self.n > 1:
+            near = heapq.nsmallest(self.n - 1, gaps)
+            closest = heapq.nsmallest(self.n - 1, [(g, i) for i, g in enumerate(gaps) if g <= near[-1]])
+            closest = [i for gap, i in closest if gap < float("inf")]
         paths = [self.pieces.n_best(segments[i], self.n) for i in closest]
+        total = sum(scores)
         # Hypotheses are (cost over the best, ranks in the closest segments).
         queue: list[tuple[float, tuple[int, ...]]] = [(0.0, (0,) * len(closest))]
         seen, costs, changes = {queue[0][1]}, [], []
@@ -225,18 +230,18 @@ class Encoder:
             cost, ranks = heapq.heappop(queue)
             costs.append(cost)
             changes.append({closest[j]: paths[j][r] for j, r in enumerate(ranks) if r})
-            for j, own in enumerate(paths):
+            for j, path in enumerate(paths):
                 after = (*ranks[:j], ranks[j] + 1, *ranks[j + 1 :])
-                if after[j] < len(own) and after not in seen:
+                if after[j] < len(path) and after not in seen:
                     seen.add(after)
-                    heapq.heappush(queue, (cost + own[ranks[j]][0] - own[after[j]][0], after))
-        return ids, [total - c for c in costs], changes
+                    heapq.heappush(queue, (cost + path[ranks[j]][0] - path[after[j]][0], after))
+        return own, [total - c for c in costs], changes
 
-    def all_ids(self, text: str, ids: bytes, changes: list[dict[int, Path]]) -> list[bytes]:
+    def all_ids(self, own: list[bytes], changes: list[dict[int, Path]]) -> list[bytes]:
         """Ids of the N best segmentations, from what ``encode`` gave."""
+        ids = b"".join(own)
         if len(changes) == 1:
             return [ids]
-        own = [self.known[s][1] for s in (SEGMENT.findall(" " + text) if text else [])]
         starts = [0, *accumulate(map(len, own))]
         out = []
         for change in changes:
@@ -244,18 +249,20 @@ class Encoder:
             for k in sorted(change):
                 parts += [ids[at : starts[k]], array("I", change[k][1]).tobytes()]
                 at = starts[k + 1]
-            out.append(b"".join([*parts, ids[at:]]))
+            out.append(b"".join([*parts, ids[at:]]) if parts else ids)
         return out
 
     def n_best(self, text: str) -> list[tuple[float, list[int]]]:
         """The N best segmentations of a text in full."""
-        segments = SEGMENT.findall(" " + text) if text else []
-        best = [list(memoryview(self.known[s][1]).cast("I")) for s in segments]
-        _, scores, changes = self.encode(text)
-        return [
-            (score, [i for k, own in enumerate(best) for i in (change[k][1] if k in change else own)])
-            for score, change in zip(scores, changes, strict=True)
-        ]
+        own, scores, changes = self.encode(text)
+        every = self.all_ids(own, changes)
+        return [(score, list(memoryview(ids).cast("I"))) for score, ids in zip(scores, every, strict=True)]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str, n: int) -> Encoder:
+    """One encoder for the tasks that a worker process runs one after another, with the segments it remembers."""
+    return Encoder(path, n)
 
 
 def encode_documents(
@@ -279,7 +286,7 @@ def encode_documents(
     path = model_path or public_tokenizers.path("piece_bpe_32k.model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, n_best)
+        encoder = encoder_of(path, n_best)
         pieces = encoder.pieces
         longs = pa.list_(pa.int64())
         kinds = [pa.int64(), pa.list_(pa.float64()), pa.int64(), pa.bool_(), longs, longs, pa.binary(), pa.list_(pa.binary())]
@@ -287,8 +294,9 @@ def encode_documents(
         for batch in slices(batches):
             rows = []
             for text in texts_of(batch, "text"):
-                ids, scores, changes = encoder.encode(text)
-                every = encoder.all_ids(text, ids, changes)
+                own, scores, changes = encoder.encode(text)
+                every = encoder.all_ids(own, changes)
+                ids = every[0]
                 sizes, digests = [len(x) // 4 for x in every], [zlib.crc32(x) for x in every]
                 same = pieces.decode(memoryview(ids).cast("I")) == text
                 rows.append((sizes[0], scores, digests[0], same, sizes, digests, ids, every)[: len(kinds)])
