@@ -15,39 +15,51 @@ from __future__ import annotations
 import functools
 import itertools
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from sluice.llm.batches import scan_partitions, slices, stored, texts_of, words_of
+from sluice.llm.batches import scan_partitions, stored
+from sluice.llm.words import Words, chunks, hashes
 
 END = b"\n"  # no word holds a blank, so this cannot be one
-BITS_PER_ENTRY, HASHES = 8, 5
-LEVEL_BASE = 2.0
+BITS_PER_ENTRY, HASHES = 10, 7
+LEVEL_BASE = 1.5
 MAX_LEVEL = 200
 FOLDS, HELD_OUT = 7, 2
-COUNT_KEYS = 300_000
-PAIR_TOKENS = 500_000
-REMEMBERED_WORDS = 150_000
+CHUNK_BYTES = 16 << 20
+SCORED_BYTES = 4 << 20
 HOT_WORDS = 100_000
 SEGMENTS_PER_PARTITION = 4
 PASS_BYTES = 128 << 20
 MASS = 8.0
 
 
-def tokens_of(text: str) -> list[bytes]:
-    """Words with A-Z lowered, then one end token."""
-    words = [w.lower() for w in words_of(text)]
-    words.append(END)
-    return words
+class Tokens:
+    """The tokens of many texts: words with A-Z lowered, and one end token after each text."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        words = Words(texts)
+        dictionary = words.dictionary.cast(pa.large_binary())
+        self.dictionary = pa.concat_arrays([dictionary, pa.array([END], pa.large_binary())])
+        self.sizes = np.bincount(words.text, minlength=len(texts)) + 1
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.ids = np.full(int(self.sizes.sum()), len(dictionary), np.int64)
+        inside = np.ones(len(self.ids), bool)
+        inside[self.starts + self.sizes - 1] = False
+        self.ids[inside] = words.ids
+        # Places of all tokens but the first of each text.
+        follows = np.ones(len(self.ids), bool)
+        follows[self.starts] = False
+        self.follows = np.flatnonzero(follows)
+        self.hashes = hashes(self.dictionary)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -71,19 +83,6 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, starts, ordered[starts]
 
 
-class WordHashes(dict):
-    """Hashes of words, remembered for a bounded number of them."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, count=len(words))
-
-
 @dataclass(frozen=True)
 class Segments:
     """Some segments of a filter of ``total`` ones: their bits, one after another."""
@@ -161,22 +160,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """``(word binary, c)`` over all texts of ``docs``; tasks count before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
-        for batch in slices(batches, 1000):
-            for text in texts_of(batch, "text"):
-                found.update(tokens_of(text))
-            if len(found) >= COUNT_KEYS:
-                yield from out(found)
-                found = Counter()
-        yield from out(found)
-
-    def out(found: Counter[bytes]) -> Iterator[pa.RecordBatch]:
-        words, counts = list(found), list(found.values())
-        for i in range(0, len(words), 50_000):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words[i : i + 50_000], pa.binary()), pa.array(counts[i : i + 50_000], pa.int64())],
-                ["word", "c"],
-            )
+        for table in chunks(batches, "text", CHUNK_BYTES):
+            tokens = Tokens(table.column("text").chunk(0))
+            counts = np.bincount(tokens.ids, minlength=len(tokens.dictionary))
+            for i in range(0, len(counts), 50_000):
+                words = tokens.dictionary[i : i + 50_000].cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([words, pa.array(counts[i : i + 50_000])], ["word", "c"])
 
     return docs.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -200,35 +189,22 @@ def _packed(segment: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Iterat
 
 @dataclass(frozen=True)
 class Frequent:
-    """Exact counts of the most frequent words, by their hashes."""
+    """Exact counts of the most frequent words."""
 
-    keys: np.ndarray
+    words: pa.Array
     counts: np.ndarray
-    words: dict[bytes, int]
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
+    def find(self, words: pa.Array) -> np.ndarray:
         """The count of each word; 0 for words that are not frequent."""
-        if not len(self.keys):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        return np.where(self.keys[at] == hashes, self.counts[at], 0)
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        return np.append(self.counts, 0)[at]
 
 
 def frequent_words(counts: DataFrame) -> Frequent:
     """The HOT_WORDS words with the largest counts: a table of bounded size."""
     rows = counts.orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()
-    words = {bytes(r["word"]): r["c"] for r in rows}
-    keys = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-    order = np.argsort(keys)
-    return Frequent(keys[order], np.array(list(words.values()), np.int64)[order], words)
-
-
-def _token_arrays(lists: list[list[bytes]], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens, and for each but the first whether it starts a text."""
-    flat = hashes.of(list(itertools.chain.from_iterable(lists)))
-    starts = np.zeros(len(flat), bool)
-    starts[np.cumsum([0, *map(len, lists[:-1])])] = True
-    return flat, starts
+    words = pa.array([bytes(r["word"]) for r in rows], pa.large_binary())
+    return Frequent(words, np.array([r["c"] for r in rows], np.int64))
 
 
 def _pair_segments(frequent: np.ndarray, pairs: np.ndarray, second: np.ndarray, total: int) -> np.ndarray:
@@ -245,33 +221,22 @@ def ngram_segments(docs: DataFrame, frequent: Broadcast, total: int) -> DataFram
     pairs of a frequent word are dealt out over all segments.
     """
 
-    def counted(words: list[np.ndarray], pairs: list[np.ndarray], seconds: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        every = np.concatenate(words)
-        order, starts, keys = distinct(every)
-        counts = np.diff(np.append(starts, len(order)))
-        yield from _packed((keys % np.uint64(total)).astype(np.int64), keys, counts)
-        order, starts, keys = distinct(np.concatenate(pairs))
-        counts = np.diff(np.append(starts, len(order)))
-        second = np.concatenate(seconds)[order[starts]]
-        hot = frequent.value.find(second)
-        yield from _packed(_pair_segments(hot, keys, second, total), keys, counts)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, words, pairs, seconds, size = WordHashes(), [], [], [], 0
-        for batch in slices(batches):
-            if not batch.num_rows:
+        for table in chunks(batches, "text", CHUNK_BYTES):
+            tokens = Tokens(table.column("text").chunk(0))
+            counts = np.bincount(tokens.ids, minlength=len(tokens.dictionary))
+            used = np.flatnonzero(counts)
+            keys = tokens.hashes[used]
+            yield from _packed((keys % np.uint64(total)).astype(np.int64), keys, counts[used])
+            second = tokens.ids[tokens.follows]
+            if not len(second):
                 continue
-            flat, starts = _token_arrays([tokens_of(t) for t in texts_of(batch, "text")], hashes)
-            inside = ~starts[1:]
-            words.append(flat)
-            pairs.append(pair_keys(flat[:-1][inside], flat[1:][inside]))
-            seconds.append(flat[1:][inside])
-            size += len(flat)
-            if size >= PAIR_TOKENS:
-                yield from counted(words, pairs, seconds)
-                words, pairs, seconds, size = [], [], [], 0
-        if words:
-            yield from counted(words, pairs, seconds)
+            hot = frequent.value.find(tokens.dictionary)
+            pairs = pair_keys(tokens.hashes[tokens.ids[tokens.follows - 1]], tokens.hashes[second])
+            order, starts, keys = distinct(pairs)
+            second = second[order[starts]]
+            segment = _pair_segments(hot[second], keys, tokens.hashes[second], total)
+            yield from _packed(segment, keys, np.diff(np.append(starts, len(order))))
 
     def merge(key: tuple, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = [], []
@@ -311,57 +276,58 @@ def passes(segments: DataFrame, total: int, limit: int) -> Iterator[Segments]:
         yield Segments(total, i == 0, empty, starts, lengths, b"".join(parts))
 
 
-def part_scores(
-    lists: list[list[bytes]], hashes: WordHashes, held: Segments, frequent: Frequent, n: int, v: int
-) -> np.ndarray:
-    """What the segments of one pass say about each text: log10 terms that add up over the passes."""
-    flat, starts = _token_arrays(lists, hashes)
-    order, first, words = distinct(flat)
-    number = np.empty(len(flat), np.int64)
-    number[order] = np.repeat(np.arange(len(words)), np.diff(np.append(first, len(flat))))
-    exact = frequent.find(words)
+def part_scores(tokens: Tokens, exact: np.ndarray, held: Segments, n: int, v: int) -> np.ndarray:
+    """What the segments of one pass say about each text: log10 terms that add up over the passes.
+
+    ``exact`` has the counts of the frequent words of the dictionary, 0 for others.  A pair is not looked
+    for where one of its words is known to be unseen, and counts at most as often as its words.
+    """
+    words = tokens.hashes
     segment = (words % np.uint64(held.total)).astype(np.int64)
-    here = np.where(exact > 0, held.first, held.covers(segment))
-    counts = np.where(exact > 0, exact, held.counts(words, segment))
-    alone = np.log10(MASS * (counts + 1) / (n + v + 1))
-    as_history = -np.log10(counts + MASS)
-    terms = np.where(here, alone, 0.0)[number]
-    follows = ~starts
-    terms[follows] += np.where(here, as_history, 0.0)[number[:-1][follows[1:]]]
+    rare = np.flatnonzero(exact == 0)
+    counts = exact.astype(float)
+    counts[rare] = held.counts(words[rare], segment[rare])
+    covered = held.covers(segment)
+    here = np.where(exact > 0, held.first, covered)
+    # A word whose segment another pass holds may have any count.
+    most = np.where((exact > 0) | covered, counts, np.inf)
+    terms = np.where(here, np.log10(MASS * (counts + 1) / (n + v + 1)), 0.0)[tokens.ids]
+    history, second = tokens.ids[tokens.follows - 1], tokens.ids[tokens.follows]
+    terms[tokens.follows] += np.where(here, -np.log10(counts + MASS), 0.0)[history]
     if held.first:
-        terms[starts] -= math.log10(MASS)
-    second = number[1:][follows[1:]]
-    pairs = pair_keys(flat[:-1][follows[1:]], flat[1:][follows[1:]])
-    pair_counts = held.counts(pairs, _pair_segments(exact[second], pairs, words[second], held.total))
-    share = pair_counts * (n + v + 1) / (MASS * (counts[second] + 1))
-    terms[follows] += np.log10(1 + share)
-    return np.add.reduceat(terms, np.flatnonzero(starts))
+        terms[tokens.starts] -= math.log10(MASS)
+    bound = np.minimum(most[history], most[second])
+    at = np.flatnonzero(bound > 0)
+    order, starts, pairs = distinct(pair_keys(words[history[at]], words[second[at]]))
+    one = at[order[starts]]
+    own = _pair_segments(exact[second[one]], pairs, words[second[one]], held.total)
+    pair_counts = np.minimum(held.counts(pairs, own), bound[one])
+    share = np.log10(1 + pair_counts * (n + v + 1) / (MASS * (counts[second[one]] + 1)))
+    terms[tokens.follows[at[order]]] += np.repeat(share, np.diff(np.append(starts, len(order))))
+    return np.add.reduceat(terms, tokens.starts)
 
 
 def _scored(docs: DataFrame, frequent: Broadcast, held: Broadcast, n: int, v: int) -> DataFrame:
     """``docs`` with their ``part`` from the segments of one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in slices(batches):
-            if batch.num_rows:
-                lists = [tokens_of(t) for t in texts_of(batch, "text")]
-                part = part_scores(lists, hashes, held.value, frequent.value, n, v)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(part)], [*batch.schema.names, "part"]
-                )
+        for table in chunks(batches, "text", SCORED_BYTES):
+            tokens = Tokens(table.column("text").chunk(0))
+            part = part_scores(tokens, frequent.value.find(tokens.dictionary), held.value, n, v)
+            yield from table.drop_columns("text").append_column("part", pa.array(part)).to_batches()
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("part", DoubleType())]))
+    fields = [f for f in docs.schema.fields if f.name != "text"]
+    return docs.mapInArrow(run, StructType([*fields, StructField("part", DoubleType())]))
 
 
 def _with_scores(
     docs: DataFrame, segments: DataFrame, frequent: Broadcast, total: int, n: int, v: int, limit: int
 ) -> tuple[DataFrame, Broadcast | None]:
-    """``docs`` (doc_id, held_out, text) with ``score``, and what is still to be added to it.
+    """``docs`` (row_id, doc_id, held_out, text) with ``score``, and what is still to be added to it.
 
     A single pass is left to the step that sends the words.  Where the filter takes several, each is a
-    job of its own that leaves its parts in the shared folder, by a 128-bit key of
-    id and text, and the next one finds the former filter gone from memory.
+    job of its own that leaves its parts in the shared folder, by number of row, and the next one
+    finds the former filter gone from memory.
     """
     context = docs.sparkSession.sparkContext
     pending = passes(segments, total, limit)
@@ -369,18 +335,13 @@ def _with_scores(
     second = next(pending, None)
     if second is None:
         return docs.withColumn("score", F.lit(0.0)), context.broadcast(first)
-    key = F.struct(
-        F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("b")
-    )
-    keyed = docs.withColumn("key", key)
     parts = []
     for group in itertools.chain([first, second], pending):
         held = context.broadcast(group)
-        own = _scored(keyed, frequent, held, n, v).select("key", "part")
-        parts.append(stored(own.groupBy("key").agg(F.first("part").alias("part")), "lm-part"))
+        parts.append(stored(_scored(docs, frequent, held, n, v).select("row_id", "part"), "lm-part"))
         held.destroy()
     every = functools.reduce(DataFrame.unionAll, parts)
-    return keyed.join(every.groupBy("key").agg(F.sum("part").alias("score")), "key", "left").drop("key"), None
+    return docs.join(every.groupBy("row_id").agg(F.sum("part").alias("score")), "row_id", "left"), None
 
 
 def lm_scores(
@@ -399,7 +360,8 @@ def lm_scores(
     occurrences of the others are joined with the table of counts.
 
     A null text is an empty one, which has the end token alone.  A null id trains and stays
-    null.  Repeated rows each count and each give a row.  An empty table gives none.
+    null.  Repeated rows each count and each give a row, by their number in the scan; ``docs`` must
+    give the same rows in the same order whenever it is read, as tables do.  An empty table gives none.
     Other columns are not looked at.
     """
     spark = docs.sparkSession
@@ -410,6 +372,7 @@ def lm_scores(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"),
         out.alias("held_out"),
         F.col(f"`{text_column}`").alias("text"),
+        F.monotonically_increasing_id().alias("row_id"),
     )
     train = docs.filter("not held_out").select("text")
     total = SEGMENTS_PER_PARTITION * scan_partitions(docs)
@@ -428,45 +391,43 @@ def _with_base(scored: DataFrame, held: Broadcast | None, counts: DataFrame, fre
     A document sends one row for all its frequent words, under a word of its own that
     no count has, and one for each distinct other word.
     """
-    names = ["row_id", "doc_id", "held_out", "score", "n_tokens", "n_known", "logs", "word", "times"]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frequent.value.words
-        logs, hashes = {w: math.log10(c + 1) for w, c in known.items()}, WordHashes()
-        for batch in slices(batches):
-            if not batch.num_rows:
-                continue
-            rows: dict[str, list] = {name: [] for name in names}
-            ids = [batch.column(c).to_pylist() for c in ("row_id", "doc_id", "held_out", "score")]
-            lists = [tokens_of(t) for t in texts_of(batch, "text")]
+        for table in chunks(batches, "text", SCORED_BYTES):
+            tokens = Tokens(table.column("text").chunk(0))
+            exact = frequent.value.find(tokens.dictionary)
+            ids = table.column("row_id").to_numpy()
+            score = table.column("score")
             if held is not None:
-                ids[3] = part_scores(lists, hashes, held.value, frequent.value, n, v).tolist()
-            for tokens, *own in zip(lists, *ids, strict=True):
-                found = Counter(tokens)
-                rest = [(w, c) for w, c in found.items() if w not in known]
-                n_rest = sum(c for _, c in rest)
-                size = sum(found.values())
-                total = math.fsum(c * logs[w] for w, c in found.items() if w in known)
-                mark = END + own[0].to_bytes(8, "big")
-                for name, value in zip(names, [*own, size, size - n_rest, total, mark, 0], strict=True):
-                    rows[name].append(value)
-                for name in names[1:7]:
-                    rows[name] += [None] * len(rest)
-                rows["row_id"] += [own[0]] * len(rest)
-                rows["word"] += [w for w, _ in rest]
-                rows["times"] += [c for _, c in rest]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[f.name], f.type) for f in kinds], [f.name for f in kinds]
-            )
+                score = pa.array(part_scores(tokens, exact, held.value, n, v))
+            text = np.repeat(np.arange(len(ids)), tokens.sizes)
+            known = exact[tokens.ids] > 0
+            logs = np.where(known, np.log10(exact + 1.0)[tokens.ids], 0.0)
+            frequent_rows = pa.table(
+                {
+                    "row_id": ids, "doc_id": table.column("doc_id"), "held_out": table.column("held_out"), "score": score,
+                    "n_tokens": tokens.sizes, "n_known": np.bincount(text[known], minlength=len(ids)),
+                    "logs": np.add.reduceat(logs, tokens.starts),
+                    "word": pa.array([END + i.to_bytes(8, "big") for i in ids.tolist()], pa.binary()),
+                    "times": np.zeros(len(ids), np.int64),
+                }
+            )
+            yield from frequent_rows.cast(kinds).to_batches()
+            pairs, times = np.unique(text[~known] * len(exact) + tokens.ids[~known], return_counts=True)
+            rest = pa.table(
+                {
+                    "row_id": ids[pairs // len(exact)], **{name: pa.nulls(len(pairs), kinds.field(name).type) for name in kinds.names[1:7]},
+                    "word": tokens.dictionary.take(pa.array(pairs % len(exact))), "times": times,
+                }
+            )
+            yield from rest.cast(kinds).to_batches(50_000)
 
     schema = (
         "row_id long, doc_id long, held_out boolean, score double, n_tokens long, "
         "n_known long, logs double, word binary, times long"
     )
     types = [pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.int64()]
-    kinds = [pa.field(name, kind) for name, kind in zip(names, types, strict=True)]
-    numbered = scored.withColumn("row_id", F.monotonically_increasing_id())
-    joined = numbered.mapInArrow(run, schema).join(counts, "word", "left")
+    kinds = pa.schema([(f.split()[0], kind) for f, kind in zip(schema.split(", "), types, strict=True)])
+    joined = scored.mapInArrow(run, schema).join(counts, "word", "left")
     zero = F.lit(0)
     sums = joined.groupBy("row_id").agg(
         F.max(F.struct(F.col("n_tokens").isNotNull(), "doc_id", "held_out", "score")).alias("own"),
