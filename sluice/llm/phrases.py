@@ -23,22 +23,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.batches import slices, stored
+from sluice.llm.words import Words
 
 LEAST = 10
 LONGEST = 3
 INSIDE_PCT = 50
 FIRST = 2000
-CHUNK_BYTES = 24 << 20
-BUCKET_BYTES = 12 << 20
+CHUNK_BYTES = 12 << 20
+BUCKET_BYTES = 6 << 20
 FIELD_BITS = 28
 SMALL = 2048
 SALTS = 64
-
-_KIND = np.zeros(256, np.uint8)
-_KIND[list(b" \t")] = 1
-_KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
+BLANKS, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 
 BLOB_SCHEMA = "bucket long, lang string, phrases binary, counts binary"
 COUNT_SCHEMA = "lang string, phrase string, n long"
@@ -106,68 +102,6 @@ def equal_partitions(keys: np.ndarray, weights: np.ndarray, least: int = 1, smal
     )
 
 
-class Words:
-    """The words of a list of UTF-8 texts as numbers, with the piece and the text of each."""
-
-    def __init__(self, texts: pa.Array) -> None:
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        begin, end = int(offsets[0]), int(offsets[-1])
-        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[begin:end]
-        kind = _KIND[raw]
-        inside = kind == 0
-        new_text = np.zeros(len(raw) + 1, bool)
-        new_text[offsets - begin] = True
-        breaks = new_text[:-1] | (kind == 2)
-        starts = inside.copy()
-        starts[1:] &= ~inside[:-1] | new_text[1:-1]
-        at = np.flatnonzero(starts)
-        self.piece = np.cumsum(breaks, dtype=np.int32)[at]
-        self.text = np.searchsorted(offsets - begin, at, side="right") - 1
-        letters = _LOWER[raw[inside]]
-        ends = np.append(np.cumsum(inside, dtype=np.int64)[at] - 1, len(letters))
-        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(letters)])
-        coded = words.dictionary_encode()
-        self.ids, self.dictionary = coded.indices.to_numpy(), coded.dictionary
-
-    def phrases(self, at: np.ndarray, length: int) -> pa.Array:
-        """The phrases of ``length`` words that start at the given places, joined by blanks."""
-        words = [self.dictionary.take(pa.array(self.ids[at + i])) for i in range(length)]
-        return pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
-
-    def numbers(self, lang: str, at: np.ndarray, length: int) -> np.ndarray:
-        """A 64-bit number for each phrase that starts at the given places, from the numbers of its words."""
-        if not len(at):
-            return np.zeros(0, np.uint64)
-        own = hashes(self.dictionary, lang)
-        out = np.full(len(at), length, np.uint64)
-        for i in range(length):
-            out = (out ^ own[self.ids[at + i]]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(31)
-        return out
-
-
-def hashes(words: pa.Array, lang: str) -> np.ndarray:
-    """A 64-bit number for each word of a language, from its bytes eight at a time."""
-    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
-    raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)
-    sizes = np.diff(offsets)
-    padded = np.append(raw, np.zeros(8, np.uint8))
-    seed = int.from_bytes(lang.encode("utf-8", "surrogatepass"), "little") % 0xFFFFFFFFFFFFFFC5
-    out = np.full(len(sizes), seed, np.uint64) ^ sizes.astype(np.uint64)
-    step = np.uint64(0x9E3779B97F4A7C15)
-    live, block = np.arange(len(sizes)), 0
-    while len(live):
-        at = offsets[live] + 8 * block
-        part = np.zeros(len(live), np.uint64)
-        left = sizes[live] - 8 * block
-        for i in range(8):
-            part |= np.where(left > i, padded[np.minimum(at + i, len(raw))], np.uint8(0)).astype(np.uint64) << np.uint64(8 * i)
-        mixed = (out[live] ^ part) * step
-        out[live] = (mixed ^ (mixed >> np.uint64(29))) * step
-        live, block = live[left > 8], block + 1
-    return out ^ (out >> np.uint64(32))
-
-
 class Field:
     """Marks of frequent phrases in a bit field of a bounded size."""
 
@@ -190,8 +124,8 @@ def marked_field(frequent: DataFrame, length: int) -> Field:
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, phrases in _by_lang(batch.column("lang"), batch.column("phrase")):
-                words = Words(phrases)
-                numbers = words.numbers(lang, np.arange(len(phrases)) * length, length)
+                words = Words(phrases, BLANKS, BREAKS)
+                numbers = words.numbers(np.arange(len(phrases)) * length, length, lang)
                 spot = (numbers % np.uint64(bits)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(spot // width), pa.array(spot % width)], ["part", "place"])
 
@@ -237,7 +171,7 @@ def _blobs(words: Words, lang: str, at: np.ndarray, length: int, counts: np.ndar
     """The phrases at the given places and their counts, one row for each bucket of phrases."""
     if not len(at):
         return
-    bucket = (words.numbers(lang, at, length) % np.uint64(buckets)).astype(np.int64)
+    bucket = (words.numbers(at, length, lang) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     numbers, starts = np.unique(bucket[order], return_index=True)
     ends = np.append(starts[1:], len(order))
@@ -264,7 +198,7 @@ def _sent(texts: DataFrame, length: int, buckets: int, field: Field | None) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, chunk in _chunks(batches):
-            words = Words(chunk)
+            words = Words(chunk, BLANKS, BREAKS)
             at = np.flatnonzero(words.piece[: max(0, len(words.ids) - length + 1)] == words.piece[length - 1 :])
             if length == 1:
                 # The dictionary has equal words in one partition already.
@@ -272,7 +206,7 @@ def _sent(texts: DataFrame, length: int, buckets: int, field: Field | None) -> D
                 counts = np.bincount(words.ids)
             else:
                 for side in (0, 1):
-                    at = at[held.value.has(words.numbers(lang, at + side, length - 1))]
+                    at = at[held.value.has(words.numbers(at + side, length - 1, lang))]
                 keys = np.stack([words.ids[at + i] for i in range(length)])
                 first, counts = equal_partitions(keys, np.ones(len(at), np.int64))
                 at = at[first]
@@ -290,7 +224,7 @@ def _added(blobs: DataFrame, length: int, least: int) -> DataFrame:
         numbers = coded.indices.to_numpy(zero_copy_only=False)
         for i, lang in enumerate(coded.dictionary.to_pylist()):
             own = table.filter(pa.array(numbers == i))
-            words = Words(own.column("phrases").combine_chunks().cast(pa.large_binary()))
+            words = Words(own.column("phrases").combine_chunks().cast(pa.large_binary()), BLANKS, BREAKS)
             weights = np.concatenate([np.frombuffer(c, np.int64) for c in own.column("counts").to_pylist()])
             at = np.arange(len(weights)) * length
             first, sums = equal_partitions(np.stack([words.ids[at + d] for d in range(length)]), weights, least)
