@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from dataclasses import replace
+from functools import cached_property
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import RandomForestClassifier
@@ -14,6 +16,7 @@ from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCo
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.flat_trees import FlatTrees, FlatTreesModel
 from sluice.session import cut_lineage
 
 LEAST_PROBABILITY = 1e-15
@@ -150,27 +153,21 @@ class AdaBoostModel(Model, AdaBoostParams):
         self.trees, self.alphas = trees, alphas
         self.classes, self.by_probability = classes, by_probability
 
-    def _votes(self) -> Callable[[float], Column]:
-        k = self.classes
-        if self.by_probability:
-
-            def votes(_: float) -> Column:
-                logs = _log_probabilities()
-                mean = F.aggregate(logs, F.lit(0.0), lambda a, x: a + x) / k
-                return F.transform(logs, lambda p: (k - 1) * (p - mean))
-        else:
-
-            def votes(alpha: float) -> Column:
-                hit = [F.when(F.col("_pred") == c, alpha).otherwise(0.0) for c in range(k)]
-                return F.array(*hit)
-
-        return votes
+    @cached_property
+    def flat(self) -> FlatTrees:
+        """All trees as arrays, each leaf with the votes of its tree."""
+        parts = []
+        for tree, alpha in zip(self.trees, self.alphas, strict=True):
+            own = FlatTrees.of_node(tree.trees[0]._call_java("rootNode"), self.classes)
+            if self.by_probability:
+                logs = np.log(np.maximum(own.votes, LEAST_PROBABILITY))
+                votes = (self.classes - 1) * (logs - logs.mean(axis=1, keepdims=True))
+            else:
+                votes = alpha * np.eye(self.classes)[own.votes.argmax(axis=1)]
+            parts.append(replace(own, votes=votes))
+        return FlatTrees.join(parts)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        votes = self._votes()
-        out = dataset.withColumn("_votes", F.array(*[F.lit(0.0)] * self.classes))
-        for tree, alpha in zip(self.trees, self.alphas, strict=True):
-            added = F.zip_with("_votes", votes(alpha), lambda a, b: a + b)
-            out = tree.transform(out).withColumn("_votes", added).drop("_pred", "_prob", "_raw")
-        best = F.array_position("_votes", F.array_max("_votes")) - 1
-        return out.withColumn(self.getPredictionCol(), best.cast("double")).drop("_votes")
+        model = FlatTreesModel(self.flat)
+        model._set(featuresCol=self.getFeaturesCol(), predictionCol=self.getPredictionCol())
+        return model.transform(dataset)

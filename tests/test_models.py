@@ -104,9 +104,21 @@ def test_neighbor_job_and_scores(rings):
 
 
 def test_language_is_learnable(spark):
-    from sluice.plans.queries import QUERIES
+    from sluice.plans import model_queries
 
+    train, test = model_queries.split(spark, "/root/testdata/sf0.01")
     hit = (F.col("label") == F.col("prediction")).cast("double")
-    for name in ("rf_predict", "ada_predict", "svc_predict"):
-        predicted = QUERIES[name](spark, "/root/testdata/sf0.01")
-        assert predicted.agg(F.avg(hit)).first()[0] >= 0.9, name
+    for job in (model_queries.forest_predictions, model_queries.boost_predictions, model_queries.machine_predictions):
+        assert job(train, test).agg(F.avg(hit)).first()[0] >= 0.9, job.__name__
+
+
+def test_fourier_features_of_sparse_rows(spark):
+    rng = np.random.default_rng(4)
+    x = np.where(rng.random((40, 5000)) < 0.01, rng.normal(size=(40, 5000)), 0.0)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, Vectors.sparse(5000, [(int(j), float(v[j])) for j in np.flatnonzero(v)])) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, ["id", "features"]).repartition(3)
+    mapped = kernel.FourierFeatures(components=4000, gamma=0.7).transform(df).orderBy("id")
+    z = np.array([r.fourier.toArray() for r in mapped.collect()])
+    exact = np.exp(-0.7 * ((x[:, None] - x[None]) ** 2).sum(axis=2))
+    assert np.abs(z @ z.T - exact).max() < 0.1
