@@ -302,7 +302,11 @@ def pack_documents(
     capacity: int = CAPACITY,
     with_ids: bool = False,
 ) -> DataFrame:
-    """Tokenise and pack: a row per piece with its place, on request with its ids."""
+    """Tokenise and pack: a row per piece with its place, on request with its ids.
+
+    Null and empty texts are one piece, the end token alone; long ones are cut in pieces.  Null ids stay null and repeated rows
+    each have pieces of their own.  An empty table gives no rows, and other columns are not looked at.
+    """
     pieces = token_pieces(
         docs, id_column=id_column, text_column=text_column, tokenizer_path=tokenizer_path,
         capacity=capacity, with_ids=with_ids,

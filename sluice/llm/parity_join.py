@@ -45,6 +45,7 @@ CHUNK = 1_000_000
 HINT_SHARE, HINT_LEAST, HINT_ONE_IN = 1000, 4, 32
 MAX_BROADCAST_IDS = 2_000_000
 BLOCK_NODES = 1000
+KEY_BYTES = 5
 
 
 def shingles_of(text: str, width: int = SHINGLE) -> np.ndarray:
@@ -188,7 +189,10 @@ def block_entries(docs: DataFrame, hint: Broadcast, buckets: int, pct: int, widt
     """The blocks of all sets, packed in rows by a hash of the block."""
 
     def packed(keys: list[np.ndarray], nodes: list[bytes]) -> Iterator[pa.RecordBatch]:
-        """A row per bucket: its nodes, the number of blocks of each, and the blocks' keys."""
+        """A row per bucket: its nodes, the number of blocks of each, and the low bytes of the blocks' keys.
+
+        The bucket is drawn from the other bytes.  Keys that share what is left are compared in vain at times.
+        """
         every = np.concatenate(keys)
         owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
         bucket = ((every >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
@@ -200,7 +204,7 @@ def block_entries(docs: DataFrame, hint: Broadcast, buckets: int, pct: int, widt
             own, counts = np.unique(owner[start:end], return_counts=True)
             rows[0].append(b"".join(nodes[i] for i in own))
             rows[1].append(counts.astype("<u4").tobytes())
-            rows[2].append(every[start:end].tobytes())
+            rows[2].append(every[start:end].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes())
         arrays = [pa.array(numbers.astype(np.int32)), *(pa.array(r, pa.binary()) for r in rows)]
         yield pa.RecordBatch.from_arrays(arrays, ["bucket", "nodes", "counts", "keys"])
 
@@ -233,10 +237,14 @@ def block_entries(docs: DataFrame, hint: Broadcast, buckets: int, pct: int, widt
 
 
 def _unpacked(batch: pa.RecordBatch, row: int) -> np.ndarray:
+    """The entries of a row, with keys that are the bucket's own."""
     nodes, counts, keys = (batch.column(c)[row].as_py() for c in ("nodes", "counts", "keys"))
     node = np.repeat(np.frombuffer(nodes, "<u8").reshape(-1, 2), np.frombuffer(counts, "<u4"), axis=0)
     entries = np.empty(len(node), ENTRY)
-    entries["key"], entries["a"], entries["b"] = np.frombuffer(keys, "<u8"), node[:, 0], node[:, 1]
+    whole = np.zeros((len(node), 8), np.uint8)
+    whole[:, :KEY_BYTES] = np.frombuffer(keys, np.uint8).reshape(-1, KEY_BYTES)
+    bucket = np.uint64(batch.column("bucket")[row].as_py() << 8 * KEY_BYTES & 0xFFFFFFFFFFFFFFFF)
+    entries["key"], entries["a"], entries["b"] = whole.view("<u8")[:, 0] | bucket, node[:, 0], node[:, 1]
     return entries
 
 
@@ -470,21 +478,10 @@ def across(members: DataFrame, roots: DataFrame, nodes: DataFrame, pct: int) ->
     return rows.groupBy("leader", "i", "j").applyInArrow(run, "left binary, right binary").distinct()
 
 
-def similar_texts(
-    docs: DataFrame,
-    *,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    similarity_pct: int = SIMILARITY_PCT,
-    width: int = SHINGLE,
+def _placed(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity_pct: int = SIMILARITY_PCT, width: int = SHINGLE
 ) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``, a row for each row of ``docs``.
-
-    ``component_id`` is the least id that links of ``similarity_pct`` % or more reach.  A null text
-    or one without words has no shingles, is linked with nothing and has its own id.  A row
-    with a null id is linked with nothing and has a null component.  Repeated rows each give
-    a row, an empty table gives none, and other columns are not looked at.
-    """
+    """``(doc_id, n_shingles, node, component_id, first)``; ``first`` marks the set that stands for its component."""
     if not 50 <= similarity_pct <= 100:
         raise ValueError("a similarity from 50 to 100 is expected")
     pct = similarity_pct
@@ -510,25 +507,62 @@ def similar_texts(
         links = links.union(stored(verified(rest, owners, named, pct, width), "similar-pairs"))
         roots = components(links)
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    placed = rooted.join(least, "root").select("node", "component_id")
+    least = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "node")).alias("least"))
+    placed = rooted.join(least, "root").select(
+        "node", F.col("least.doc_id").alias("component_id"), (F.col("node") == F.col("least.node")).alias("first")
+    )
+    alone = F.col("node").isNull() | F.col("doc_id").isNull()
     return sets.join(placed, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("node").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", "n_shingles", "node", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "first"
     )
 
 
+def similar_texts(
+    docs: DataFrame,
+    *,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    similarity_pct: int = SIMILARITY_PCT,
+    width: int = SHINGLE,
+) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)``, a row for each row of ``docs``.
+
+    ``component_id`` is the least id that links of ``similarity_pct`` % or more reach.  A null text
+    or one without words has no shingles, is linked with nothing and has its own id.  A row
+    with a null id is linked with nothing and has a null component.  Repeated rows each give
+    a row, an empty table gives none, and other columns are not looked at.
+    """
+    options = {"id_column": id_column, "text_column": text_column, "similarity_pct": similarity_pct, "width": width}
+    return _placed(docs, **options).select("doc_id", "n_shingles", "component_id")
+
+
 def keep_one_of_each(docs: DataFrame, **options: object) -> DataFrame:
-    """One document of each component, that with the least id, with all its columns.
+    """One document of each component, that with the least id, with all its columns, whatever their names.
 
-    Documents without words stay.  Of rows with the same id and component one
-    stays; rows with a null id all stay.
+    Documents without words and rows with a null id all stay.  Rows with the same id are judged by their own texts: of rows
+    that agree in id and set of shingles one stays, and of unlike texts of the least id of a component one.  An empty
+    table stays empty.
     """
-    found = stored(similar_texts(docs, **options), "components")
-    key = options.get("id_column", "doc_id")
-    drop = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(drop.withColumnRenamed("doc_id", key), key, "left_anti")
-    repeated = found.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().filter("count > 1")
-    if repeated.isEmpty():
-        return kept.select(docs.columns)
-    named = kept.filter(F.col(key).isNotNull()).dropDuplicates([key])
-    return named.unionByName(kept.filter(F.col(key).isNull())).select(docs.columns)
+    found = stored(_placed(docs, **options), "components")
+    key = F.col(f"`{options.get('id_column', 'doc_id')}`").cast("long")
+    names = docs.columns
+    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        drop = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_parity_id"))
+        keyed = docs.withColumn("_parity_key", key)
+        return keyed.join(drop, keyed["_parity_key"] == drop["_parity_id"], "left_anti").select(*[f"`{c}`" for c in names])
+    text, width = options.get("text_column", "text"), options.get("width", SHINGLE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [shingles_of(t, width) for t in texts_of(batch, text)]
+            yield batch.append_column("_parity_node", pa.array([fingerprint(x) if len(x) else None for x in sets], pa.binary()))
+
+    noded = docs.mapInArrow(run, docs.withColumn("_parity_node", F.lit(None).cast("binary")).schema).withColumn("_parity_key", key)
+    stay = found.filter("first and doc_id = component_id").select(
+        F.col("doc_id").alias("_parity_id"), F.col("node").alias("_parity_first")
+    ).distinct()
+    free = noded.filter("_parity_node is null or _parity_key is null")
+    same = (F.col("_parity_key") == F.col("_parity_id")) & (F.col("_parity_node") == F.col("_parity_first"))
+    named = noded.filter("_parity_node is not null and _parity_key is not null").join(stay, same, "left_semi")
+    every = free.unionByName(named.dropDuplicates(["_parity_key", "_parity_node"]))
+    return every.select(*[f"`{c}`" for c in names])

@@ -313,7 +313,11 @@ def encode_documents(
 
 
 def decode_documents(encoded: DataFrame, *, model_path: str | None = None) -> DataFrame:
-    """``(doc_id, text)`` from ``(doc_id, ids)``; null ids give a null text."""
+    """``(doc_id, text)`` from ``(doc_id, ids)``.
+
+    Null ids of pieces give a null text, empty ones an empty text.  Null document ids and repeated rows stay as they are, an
+    empty table gives no rows, and other columns are not looked at.
+    """
     path = model_path or public_tokenizers.path("piece_bpe_32k.model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

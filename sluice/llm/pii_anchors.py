@@ -17,6 +17,7 @@ from functools import cache
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import IntegralType
 
 from sluice.llm.batches import slices, texts_of
 
@@ -285,9 +286,10 @@ def pii_spans(docs: DataFrame, *, id_column: str = "doc_id", text_column: str =
 def mask_documents(docs: DataFrame, *, text_column: str = "text", size_column: str | None = "n_chars") -> DataFrame:
     """All documents with their spans masked, and their number of characters set anew.
 
-    A null text stays null.  All other columns stay as they are.
+    A null text stays null, an empty one empty, and both are as many characters.  Null ids, repeated rows and all other columns
+    stay as they are, a size column that is not of whole numbers too; an empty table stays empty.
     """
-    has_size = size_column in docs.columns
+    has_size = size_column in docs.columns and isinstance(docs.schema[size_column].dataType, IntegralType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

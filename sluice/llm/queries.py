@@ -130,21 +130,21 @@ WITH d AS (
   SELECT r, i, n,
     CASE WHEN i + 2 <= n THEN md5(array_to_string(words[i:i + 2], ' ')) END AS g3,
     CASE WHEN i + 9 <= n THEN md5(array_to_string(words[i:i + 9], ' ')) END AS g10,
-    CASE WHEN i + 150 <= n THEN md5(array_to_string(words[i:i + 150], ' ')) END AS g151
+    CASE WHEN i + 50 <= n THEN md5(array_to_string(words[i:i + 50], ' ')) END AS g51
   FROM tokens
 ), twice AS (
   SELECT r, i,
     g3 IS NOT NULL AND count(*) OVER (PARTITION BY r, g3) > 1 AS t3,
     g10 IS NOT NULL AND count(*) OVER (PARTITION BY r, g10) > 1 AS t10,
-    g151 IS NOT NULL AND count(*) OVER (PARTITION BY r, g151) > 1 AS t151
+    g51 IS NOT NULL AND count(*) OVER (PARTITION BY r, g51) > 1 AS t51
   FROM grams
 ), cover AS (
   SELECT r,
     bool_or(t3) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS c3,
-    bool_or(t10) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS c10, t151
+    bool_or(t10) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS c10, t51
   FROM twice
 ), sums AS (
-  SELECT r, count_if(c3) AS n_repeat_words, count_if(c10) AS covered_words, bool_or(t151) AS long_repeat
+  SELECT r, count_if(c3) AS n_repeat_words, count_if(c10) AS covered_words, bool_or(t51) AS long_repeat
   FROM cover GROUP BY r
 ), lines AS (
   SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines
@@ -160,7 +160,7 @@ WITH d AS (
 )
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, covered_words,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * covered_words <= 45 * n_words
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * covered_words <= 20 * n_words
     AND NOT long_repeat AS kept
 FROM base
 """

@@ -23,6 +23,8 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 3
 MIN_WORDS = 50
 CHUNK_WORDS = 200_000
+# Clean labelled texts of the given table of 10,000 have up to 18.2 % of their words in repeats, of 13 words at most.
+REPEAT_WORDS, MAX_COVERED_PCT, MAX_REPEAT = 10, 20, 50
 
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -170,9 +172,9 @@ def repetition_figures(
     *,
     id_column: str = "doc_id",
     text_column: str = "text",
-    repeat_words: int = 10,
-    max_covered_pct: int = 45,
-    max_repeat: int = 150,
+    repeat_words: int = REPEAT_WORDS,
+    max_covered_pct: int = MAX_COVERED_PCT,
+    max_repeat: int = MAX_REPEAT,
 ) -> DataFrame:
     """A row per document: word, symbol and line counts, its repeats and the verdict.
 
@@ -202,11 +204,15 @@ def keep_unrepeated(
     docs: DataFrame,
     *,
     text_column: str = "text",
-    repeat_words: int = 10,
-    max_covered_pct: int = 45,
-    max_repeat: int = 150,
+    repeat_words: int = REPEAT_WORDS,
+    max_covered_pct: int = MAX_COVERED_PCT,
+    max_repeat: int = MAX_REPEAT,
 ) -> DataFrame:
-    """The documents that ``repetition_figures`` keeps, with all their columns."""
+    """The documents that ``repetition_figures`` keeps, with all their columns.
+
+    Null and empty texts go, as they have too few words.  Null ids stay as they are, repeated rows stay or go together, an
+    empty table stays empty, and columns of any other name are passed on.
+    """
     rules = _rules(repeat_words, max_covered_pct, max_repeat)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

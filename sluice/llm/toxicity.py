@@ -130,7 +130,7 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     total = known.count()
     if total > sample:
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(sample / total * (1 << 20))))
-    return docs.join(F.broadcast(known), "doc_id").select("text", (F.col("toxic") > 0).alias("toxic"))
+    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", (F.col("toxic") > 0).alias("toxic"))
 
 
 def without_copies(rows: DataFrame) -> DataFrame:
@@ -159,7 +159,12 @@ def _least_hashes(text: str) -> tuple[int, int]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit the model on labelled documents: ``docs`` (doc_id, text), ``labels`` (doc_id, toxic)."""
+    """Fit the model on labelled documents: ``docs`` (doc_id, text), ``labels`` (doc_id, toxic).
+
+    Null ids and labels, and labels of no document, take no part; a null text counts as empty.  Of labels of the same id
+    the largest counts, and each row of a repeated id is one more text before copies are left out.  Without labelled texts
+    the model calls nothing toxic.  Other columns, also those named like a label, are not looked at.
+    """
     rows = stored(without_copies(sampled(docs, labels, sample)), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +264,11 @@ def severity(docs: DataFrame, model: Model, *, id_column: str = "doc_id", text_c
 
 
 def keep_civil(docs: DataFrame, model: Model, *, text_column: str = "text") -> DataFrame:
-    """The documents that are not toxic, with all their columns."""
+    """The documents that are not toxic, with all their columns.
+
+    A null text counts as empty.  Null ids stay as they are, repeated rows stay or go together, an empty table stays
+    empty, and columns of any other name are passed on.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

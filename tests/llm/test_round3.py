@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import cover_tree, phrases, quotient_dedup
+import corpus_pipeline
+from sluice.llm import cover_tree, lm_bloom, parity_join, phrases, pii_anchors, quotient_dedup, repetition, toxicity
 
 LONG = " ".join(f"word{i % 977}" for i in range(30_000))
 
@@ -198,3 +199,89 @@ def test_collocations_equal_brute_force(spark, monkeypatch, least, longest, firs
 def test_collocations_of_an_empty_table(spark):
     table = spark.createDataFrame([], "lang string, text string")
     assert phrases.collocations(table).count() == 0
+
+
+def test_texts_that_only_repeats_reject(spark):
+    words = [f"w{i}" for i in range(1000)]
+    rows = {
+        1: words,
+        2: words + words[100:160],
+        3: words + words[100:149],
+        4: words[:200] + [w for k in range(4) for w in [f"x{k}", *words[20 * k : 20 * k + 12]]],
+        5: words[:200] + [w for k in range(2) for w in [f"x{k}", *words[20 * k : 20 * k + 10]]],
+    }
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], "doc_id long, text string")
+    found = {r.doc_id: r for r in repetition.repetition_figures(table).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert {i for i, r in found.items() if r.kept} == {1, 3, 5}
+    assert found[2].longest_repeat == 60 and 100 * found[4].covered_words > 20 * found[4].n_words
+
+
+def test_one_of_each_of_repeated_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    near, other = base + " end", " ".join(f"v{i}" for i in range(40))
+    rows = [(1, base), (5, near), (5, None), (5, ""), (5, other), (5, other), (None, base), (7, other + " x"), (8, None), (9, base)]
+    table = spark.createDataFrame([(i, t, i, t, "p") for i, t in rows], "doc_id long, text string, node long, _n string, key string")
+    kept = parity_join.keep_one_of_each(table)
+    assert kept.columns == table.columns
+    want = [(1, base), (5, None), (5, ""), (5, other), (8, None), (None, base)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    unique = table.filter("doc_id <> 5 or text is null or doc_id is null")
+    assert sorted(((r.doc_id, r.text) for r in parity_join.keep_one_of_each(unique).collect()), key=repr) == sorted(
+        [(1, base), (5, None), (7, other + " x"), (8, None), (None, base)], key=repr
+    )
+
+
+def test_columns_that_clash(spark):
+    texts = ["You awful idiot, I hate you" if i % 3 == 0 else f"a calm text number {i} on rivers" for i in range(60)]
+    docs = spark.createDataFrame(
+        [(i, t, "x", i, None) for i, t in enumerate(texts)], "doc_id long, text string, n_chars string, toxic int, label string"
+    )
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(0, 60, 2)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert toxicity.keep_civil(docs, model).columns == docs.columns
+    masked = pii_anchors.mask_documents(docs.withColumn("text", F.lit("mail a.b@c.org")))
+    assert {r.n_chars for r in masked.collect()} == {"x"} and masked.filter("text like '%@%'").isEmpty()
+
+
+ODD = [(1, None), (2, ""), (None, "w " * 80), (4, "tiny")] + [(10 + i, " ".join(f"t{i}w{j}" for j in range(70))) for i in range(6)]
+ODD += [(12, ODD[6][1]), (50, " ".join(f"long{j}" for j in range(30_000))), (51, ODD[6][1] + " tail")]
+
+
+def test_pipeline_on_odd_rows(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, toxic string, node int"
+    docs = spark.createDataFrame([(i, t, None, "s", 0, "q", 1) for i, t in ODD], schema).repartition(3)
+    labels = "/root/testdata/sf0.001"
+    for table in (docs, docs.limit(0)):
+        before = table
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, before, labels)
+            assert after.columns == docs.columns
+            before = after.checkpoint()
+        ids = sorted(r.doc_id for r in before.collect())
+        assert ids == ([10, 11, 12, 13, 14, 15, 50] if table is docs else [])
+        packed = corpus_pipeline.packing(spark, before, labels)
+        assert {r.doc_id for r in packed.collect()} == set(ids)
+
+
+def test_lm_score_against_exact_counts(spark):
+    """Scores differ from those of the same formula with exact counts by less than 0.02 a token in the mean."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    lists = {r.doc_id: [w.lower() for w in re.findall(r"[^\x20\x09-\x0D]+", r.text or "")] + ["\n"] for r in docs.collect()}
+    held = {r.doc_id for r in docs.filter("pmod(crc32(cast(doc_id as string)), 7) = 2").collect()}
+    ones, twos = Counter(), Counter()
+    for i, words in lists.items():
+        if i not in held:
+            ones.update(words)
+            twos.update(zip(words, words[1:], strict=False))
+    n, v, m = sum(ones.values()), len(ones), lm_bloom.MASS
+
+    def exact(words):
+        total = 0.0
+        for k, w in enumerate(words):
+            p = (ones[w] + 1) / (n + v + 1)
+            total += np.log10((twos[words[k - 1], w] + m * p) / (ones[words[k - 1]] + m) if k else p)
+        return total
+
+    errors = [abs(r.score - exact(lists[r.doc_id])) / len(lists[r.doc_id]) for r in lm_bloom.lm_scores(docs).collect()]
+    assert np.mean(errors) < 0.02 and max(errors) < 0.3
