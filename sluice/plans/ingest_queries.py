@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice.functions.cells import cell_kind, cell_number
 from sluice.functions.html import text_of
 from sluice.functions.text import iso_to_timestamp
+from sluice.functions.xml import node_lists
 from sluice.operators import typing
 from sluice.plans.registry import query
 from sluice.plans.tables import table
@@ -235,14 +236,14 @@ def xml_payload_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with {XML_NODES}, {XML_ROWS} select o_orderkey, pos, value from rows")
 def xml_nodes_explode(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = payloads.node_texts(F.col("payload"), "//order/n/v")
+    nodes = payloads.node_texts(F.col("payload"), "/order/n/v")
     return _responses(spark, sf).select("o_orderkey", F.posexplode(nodes).alias("pos", "value"))
 
 
 def _node_arrays(responses: DataFrame) -> DataFrame:
     """Values and times of each response; null where it cannot be read."""
-    nodes = {"values": "//order/n/v", "times": "//order/t"}
-    return responses.withColumns({c: payloads.node_texts(F.col("payload"), p) for c, p in nodes.items()})
+    paths = {"values": "/order/n/v", "times": "/order/t"}
+    return responses.withColumn("nodes", node_lists(F.col("payload"), paths)).select("*", "nodes.*").drop("nodes")
 
 
 @query(f"with {XML_NODES}, {XML_ROWS} select o_orderkey, pos, value, time, marked from rows")

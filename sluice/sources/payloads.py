@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions.xml import node_lists
+
 CORRUPT = "_corrupt_record"
 
 
@@ -30,10 +32,13 @@ def node_texts(payload: Column, path: str) -> Column:
     """Inner texts of the nodes on a path, in document order; null where XML is malformed.
 
     There is one entry for each node: an empty node gives an empty text, and a node with
-    nodes inside gives the texts of all of them, joined.  ``path`` is ``/a/b`` from the root,
-    or ``//b`` from anywhere.  Spark's own XPath functions return text nodes, not nodes.
+    nodes inside gives the texts of all of them, joined.  ``path`` is ``/a/b`` from the root, which
+    built-in expressions read, or ``//b`` from anywhere, for which no schema can be stated and a function
+    of Python reads each payload.
     """
     anywhere, steps = path.startswith("//"), path.lstrip("/")
+    if not anywhere and "/" in steps:
+        return node_lists(payload, {"texts": path})["texts"]
 
     @F.pandas_udf("array<string>")
     def texts(payloads: pd.Series) -> pd.Series:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.functions.html import text_of
+from sluice.functions.xml import node_lists
 from sluice.sources import csv_folder, pages, payloads
 from sluice.streaming.folder_ingest import ingest_new_files
 
@@ -144,3 +145,29 @@ def test_node_texts_have_an_entry_for_each_node(spark):
     df = spark.createDataFrame(rows, "id int, payload string")
     got = {r.id: r.n for r in df.select("id", payloads.node_texts(F.col("payload"), "/a/b").alias("n")).collect()}
     assert got == {1: ["1", "", "3"], 2: ["xyz&"], 3: None}
+
+
+PAYLOADS = [
+    "<r><v>1</v><v>x<w a='1>2'>y</w>q</v><v/><t>a&lt;b&gt;c</t><v> sp </v></r>",
+    "<r><v><![CDATA[a<b>c & d]]></v><!-- <v>no</v> --><v>p<!-- c -->q<![CDATA[<i>]]></v></r>",
+    "<r><v>1</r>", None, "", "x", "<r><s><v>deep</v></s></r>", "<r/>", "<q><v>1</v></q>", "<r></r>", "<r><v>a</v></r><r/>",
+    "<?xml version='1.0'?><!-- c --><r><v at='3&amp;'>7</v><v><w>only</w></v><v>\n two\n <w>k</w></v></r>\n",
+    "<r><v>&#233;&#x1F600;&amp;lt;&amp;#65;</v><v>&quot;&apos;</v></r>", "<r><v>a & b</v></r>", "<r><v>&nosuch;</v></r>",
+    "<r><v>a</v><t>&bad</t></r>", "<r><n>text</n><n><v>1</v><v>2</v></n><n/><n><v/></n><v>z</v></r>", "<r><v>\ue000lt;</v></r>",
+    "<r><v><![CDATA[open</v></r>", "<r><v><![CDATA[]]></v><v>é漢</v></r>",
+]
+
+
+def test_native_nodes_equal_the_parser(spark):
+    df = spark.createDataFrame(list(enumerate(PAYLOADS)), "id int, payload string")
+    paths = {"v": "/r/v", "t": "/r/t", "deep": "/r/n/v"}
+    found = df.select("id", node_lists(F.col("payload"), paths).alias("n")).select("id", "n.*").collect()
+    for row in found:
+        for name, path in paths.items():
+            want = None if PAYLOADS[row.id] is None else payloads.inner_texts(PAYLOADS[row.id], path[1:], False)
+            assert row[name] == want, (PAYLOADS[row.id], path)
+    plan = df.select(node_lists(F.col("payload"), paths))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+    for bad in ({"a": "/r/v", "b": "/q/v"}, {"a": "/r/v", "b": "/r/v/w"}, {"a": "/r"}):
+        with pytest.raises(ValueError):
+            node_lists(F.col("payload"), bad)
