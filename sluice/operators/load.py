@@ -10,16 +10,20 @@ source lacks go to their default even for keys that were there before.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.cells import empty_as_null
 from sluice.operators.typing import name_of
-from sluice.session import scratch_path
+from sluice.session import cut_lineage, scratch_path
 
 MODES = ("append", "replace", "upsert")
+# Partitions whose values are written into a filter, and tasks that write one partition.
+LISTED_PARTITIONS = 1_000
+FILES_PER_PARTITION = 8
 
 
 def check_load(how: str, keys: list[str] | None) -> None:
@@ -169,10 +173,84 @@ def load_table(
         _swap(spark, table, fresh)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-        _remove(spark, path)
+        remove(spark, path)
     return _done(table, how, came, before - kept, kept + came)
 
 
+def upsert_partitions(
+    source: DataFrame,
+    path: str,
+    keys: list[str],
+    partitions: list[str],
+    defaults: dict[str, object] | None = None,
+) -> dict[str, object]:
+    """Upsert into a folder of parquet files partitioned by ``partitions``; files of other partitions are left alone.
+
+    Touched are the partitions that hold a key of the source, or that a source row goes to.  If the
+    partition columns are part of the key, the source alone says which; else the key columns of the target are
+    read.  Only the touched ones are read whole and replaced, by dynamic partition overwrite, from a result that
+    is complete in the shared folder by then.  A key that has moved may empty its old partition, which is removed last; the
+    same upsert run again after a failure between the two gives the same rows.
+    """
+    check_load("upsert", keys)
+    spark = source.sparkSession
+    target = spark.read.parquet(path)
+    rows = named_for(source, target.schema)
+    before = target.count()
+    stage, result = scratch_path(spark, "stage"), scratch_path(spark, "partitions")
+    try:
+        aligned_to(rows, target.schema, defaults).write.parquet(stage)
+        staged = spark.read.schema(target.schema).parquet(stage)
+        wanted = staged.select(*keys).distinct()
+        into = staged.select(*partitions).distinct()
+        if set(partitions) <= set(keys):
+            touched = into
+        else:
+            touched = target.join(wanted, keys, "left_semi").select(*partitions).union(into).distinct()
+        touched = cut_lineage(touched)
+        affected = _within(target, touched, partitions)
+        merged = rows_kept(affected, staged, keys).unionByName(staged)
+        merged.repartition(*partitions, F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_PARTITION))).write.partitionBy(*partitions).parquet(result)
+        merged = spark.read.schema(target.schema).parquet(result)
+        emptied = _folders(affected, partitions, merged.select(*partitions).distinct())
+        came, after = staged.count(), merged.count()
+        deleted = affected.count() - (after - came)
+        merged.write.partitionBy(*partitions).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        for folder in emptied:
+            remove(spark, folder)
+    finally:
+        remove(spark, stage)
+        remove(spark, result)
+    return _done(path, "upsert", came, deleted, before - deleted + came)
+
+
+def _same(values: dict[str, object]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(name_of(c)).eqNullSafe(F.lit(v)) for c, v in values.items()])
+
+
+def _within(target: DataFrame, touched: DataFrame, partitions: list[str]) -> DataFrame:
+    """The rows of the touched partitions: by a filter that prunes files, or by a join if there are very many."""
+    listed = touched.limit(LISTED_PARTITIONS + 1).collect()
+    if len(listed) <= LISTED_PARTITIONS:
+        any_of = [_same({c: r[c] for c in partitions}) for r in listed]
+        return target.filter(reduce(lambda a, b: a | b, any_of) if any_of else F.lit(False))
+    own = touched.select(*[F.col(name_of(c)).alias(f"_touched_{c}") for c in partitions])
+    same = [F.col(name_of(c)).eqNullSafe(F.col(f"_touched_{c}")) for c in partitions]
+    return target.join(own, reduce(lambda a, b: a & b, same), "left_semi")
+
+
+def _folders(affected: DataFrame, partitions: list[str], filled: DataFrame) -> list[str]:
+    """Folders of the affected partitions that are not among ``filled``."""
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "")
+    held = affected.select(*partitions, folder.alias("_folder")).distinct()
+    own = filled.select(*[F.col(name_of(c)).alias(f"_filled_{c}") for c in partitions])
+    same = [F.col(name_of(c)).eqNullSafe(F.col(f"_filled_{c}")) for c in partitions]
+    # Spark gives the path as a URI, in which special signs are coded.
+    jvm = affected.sparkSession.sparkContext._jvm
+    found = held.join(own, reduce(lambda a, b: a & b, same), "left_anti").collect()
+    return [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["_folder"])).toString() for r in found]
+
+
 def _done(table: str, how: str, came: int, deleted: int, after: int) -> dict[str, object]:
     return {
         "table": table, "how": how, "rows_in": came, "rows_deleted": deleted, "rows_after": after,
@@ -191,7 +269,7 @@ def _swap(spark: SparkSession, table: str, fresh: str) -> None:
     spark.sql(f"DROP TABLE {old}")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it lies."""
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,11 +9,12 @@ from sluice.functions.cells import cell_kind, cell_number
 from sluice.functions.html import text_of
 from sluice.functions.text import iso_to_timestamp
 from sluice.functions.xml import node_lists
-from sluice.operators import typing
+from sluice.operators import load, typing
 from sluice.plans.registry import query
 from sluice.plans.tables import table
 from sluice.session import scratch_path
 from sluice.sources import csv_folder, pages, payloads, workbook
+from sluice.streaming.folder_ingest import load_new_files
 
 PART_TYPES = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size bigint, p_retailprice double"
 
@@ -359,3 +360,16 @@ def page_select_all(spark: SparkSession, sf: str) -> DataFrame:
 )
 def page_text(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", text_of(F.col("html")).alias("text"))
+
+
+@query("select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
+def ingest_with_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that come in two runs, the first of which is replayed as if it had failed before its commit."""
+    inbox, out, state = (scratch_path(spark, n) for n in ("inbox", "ingested", "ingest-state"))
+    suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    for half in (0, 1):
+        suppliers.filter(F.col("s_suppkey") % 2 == half).write.mode("append").option("header", True).csv(inbox)
+        load_new_files(spark, inbox, suppliers.schema, out, state, "suppliers").awaitTermination()
+        if half == 0:
+            load.remove(spark, f"{state}/commits/0")
+    return spark.read.schema(suppliers.schema).parquet(out).select(suppliers.columns)

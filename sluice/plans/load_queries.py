@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice.operators import load
 from sluice.plans.registry import query
 from sluice.plans.tables import table
+from sluice.session import scratch_path
 
 ORDER_COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 ITEM_COLUMNS = (
@@ -73,6 +74,21 @@ def load_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return load.upsert_rows(_orders(spark, sf), _order_source(spark, sf), ["o_orderkey"])
 
 
+@query(
+    f"""with src as ({ORDER_SOURCE})
+    select {ORDER_COLUMNS} from orders t
+    where not exists (select 1 from src s where s.o_orderkey = t.o_orderkey)
+    union all select {ORDER_COLUMNS} from src"""
+)
+def load_upsert_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """The same upsert into a folder partitioned by year, of which only touched years are replaced."""
+    by_year = F.year("o_orderdate").alias("year")
+    path = scratch_path(spark, "orders-by-year")
+    _orders(spark, sf).select("*", by_year).repartition("year").write.partitionBy("year").parquet(path)
+    load.upsert_partitions(_order_source(spark, sf).select("*", by_year), path, ["o_orderkey"], ["year"])
+    return spark.read.parquet(path).selectExpr(*ORDER_COLUMNS.split(", "))
+
+
 @query(
     f"""with src as (select * replace (0.0::double as l_discount) from lineitem
       where l_returnflag = 'R')

@@ -141,12 +141,15 @@ def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
 )
 def topic_weights(spark: SparkSession, sf: str) -> DataFrame:
     """The whole text side of the topic job: stems from all texts, weights of the scored ones."""
+    return topic_matrix(spark, sf).withColumn("weight", F.round("weight", 6))
+
+
+def topic_matrix(spark: SparkSession, sf: str) -> DataFrame:
     docs = words.canonical_tokens(tokenised(spark, sf))
     scored = survey(spark, sf).filter(F.col("ltr") <= MAX_SCORE).select("doc_id")
     # the weights read the documents twice, so their words are written once
     chosen = cut_lineage(docs.join(scored, "doc_id"))
-    weights = tfidf.tfidf_weights(chosen, settings=SETTINGS)
-    return weights.withColumn("weight", F.round("weight", 6))
+    return tfidf.tfidf_weights(chosen, settings=SETTINGS)
 
 
 @query(
@@ -168,6 +171,33 @@ def doc_cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.withColumn("similarity", F.round("similarity", 6))
 
 
+@query(
+    f"""with {S.DOCS}, {S.WORDS}, {S.VOCAB}, {S.REPRESENTATIVES}, {S.RESTORED_DOCS},
+    scored as (select * from restored where ltr <= {MAX_SCORE}),
+    {S.tfidf('scored', 3, 200_000)},
+    spelled as (select doc_id, string_agg(term || '=' || round(weight, 9), ' ' order by term) as v
+      from weights group by doc_id)
+    select doc_id, min(doc_id) over (partition by v) as representative,
+      count(*) over (partition by v) as copies from spelled"""
+)
+def doc_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """For each document of the topic job's matrix the least one with the same weights."""
+    return similarity.copy_groups(similarity.document_vectors(topic_matrix(spark, sf)))
+
+
+@query(
+    f"""with {S.DOCS}, {S.tfidf('docs', 1, 200_000)},
+    spelled as (select doc_id, string_agg(term || '=' || round(weight, 9), ' ' order by term) as v
+      from weights group by doc_id)
+    select doc_id, min(doc_id) over (partition by v) as representative,
+      count(*) over (partition by v) as copies from spelled"""
+)
+def doc_pair_members(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents behind each entry of ``doc_cosine_pairs``, those of groups in no pair among them."""
+    weights = tfidf.tfidf_weights(tokenised(spark, sf), settings=tfidf.TfidfSettings(n_max=1))
+    return similarity.copy_groups(similarity.document_vectors(weights))
+
+
 @query(
     f"""with {S.DOCS}, {S.tfidf('docs', 1, 200_000)},
     sums as (select lang, term, sum(weight) as total from weights join docs using (doc_id)

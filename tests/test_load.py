@@ -123,6 +123,39 @@ def test_models_can_be_fitted_after_a_load(spark, stored, source):
         assert model.fit(train).transform(train).select("prediction").count() == 40
 
 
+def files_of(path):
+    return {str(p.relative_to(path)) for p in path.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_partitioned_upsert_leaves_other_files(spark, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(load, "LISTED_PARTITIONS", listed)
+    folder = tmp_path / "t"
+    rows = [(i, f"n{i}", float(i), None if i % 5 == 0 else i % 5) for i in range(40)] + [(1, "again", 0.0, 1), (None, "no key", 1.0, 2)]
+    schema = "k int, name string, amount double, part int"
+    target = spark.createDataFrame(rows, schema)
+    target.write.partitionBy("part").parquet(str(folder))
+    before = files_of(folder)
+    # Key 1 is replaced twice, 5 moves from the null partition, 77 is new in a new partition; null keys delete nothing.
+    source = spark.createDataFrame([(1, "x", 1), (1, "y", 1), (5, "moved", 1), (77, "new", 9), (None, "", 1)], "k int, name string, part int")
+    want = rows_of(load.upsert_rows(target, load.blanks_as_null(source), ["k"], {"amount": 0.5}))
+    done = load.upsert_partitions(source, str(folder), ["k"], ["part"], {"amount": 0.5})
+    assert rows_of(spark.read.parquet(str(folder)).select("k", "name", "amount", "part")) == want
+    assert done["rows_in"] == 5 and done["rows_deleted"] == 3 and done["rows_after"] == 44
+    untouched = {f for f in before if f.startswith(("part=2", "part=3", "part=4"))}
+    assert untouched and untouched <= files_of(folder)
+
+
+def test_partitioned_upsert_empties_a_partition(spark, tmp_path):
+    folder = tmp_path / "t"
+    spark.createDataFrame([(1, "a"), (2, "b/c d")], "k int, part string").write.partitionBy("part").parquet(str(folder))
+    load.upsert_partitions(spark.createDataFrame([(2, "a")], "k int, part string"), str(folder), ["k"], ["part"])
+    assert rows_of(spark.read.parquet(str(folder)).select("k", "part")) == [(1, "a"), (2, "a")]
+    # With the partition in the key, the same key elsewhere is another row.
+    load.upsert_partitions(spark.createDataFrame([(2, "z")], "k int, part string"), str(folder), ["k", "part"], ["part"])
+    assert rows_of(spark.read.parquet(str(folder)).select("k", "part")) == [(1, "a"), (2, "a"), (2, "z")]
+
+
 def test_database_options():
     server = database.connection("sqlserver", "host", "db", "user", "secret")
     assert server["url"] == "jdbc:sqlserver://host:1433;databaseName=db"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice.functions.html import text_of
 from sluice.functions.xml import node_lists
 from sluice.sources import csv_folder, pages, payloads
+from sluice.streaming import folder_ingest
 from sluice.streaming.folder_ingest import ingest_new_files
 
 
@@ -171,3 +172,18 @@ def test_native_nodes_equal_the_parser(spark):
     for bad in ({"a": "/r/v", "b": "/q/v"}, {"a": "/r/v", "b": "/r/v/w"}, {"a": "/r"}):
         with pytest.raises(ValueError):
             node_lists(F.col("payload"), bad)
+
+
+def test_replayed_batches_load_once(spark, tmp_path):
+    inbox, out, state = tmp_path / "in", str(tmp_path / "out"), tmp_path / "state"
+    inbox.mkdir()
+    for n in range(3):
+        write(inbox, **{f"f{n}": f"id,x\n{n},1\n{n + 10},2\n"})
+        folder_ingest.load_new_files(spark, str(inbox), "id int, x int", out, str(state), "s", 1).awaitTermination()
+        for file in (state / "commits").glob(f"*{n}*"):
+            file.unlink()
+    folder_ingest.load_new_files(spark, str(inbox), "id int, x int", out, str(state), "s", 1).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 10, 11, 12]
+    assert sorted(tuple(r) for r in folder_ingest.loaded_batches(spark, out).collect()) == [(f"s_{n:012d}", 2) for n in range(3)]
+    with pytest.raises(ValueError):
+        folder_ingest.load_new_files(spark, str(inbox), "id int", out, str(state), "a b")
