@@ -133,6 +133,21 @@ def workbook_rows(spark: SparkSession, sf: str) -> DataFrame:
     return workbook.workbook_rows(_tabs(spark, sf))
 
 
+@query(
+    f"""select tab_no, 3 * row_number() over (partition by tab_no order by key::bigint) - 1 as row_no,
+    key, name, nation, balance, segment
+    from (select *, case when balance like '-%' then 2 else 1 end as tab_no from ({TEXT_CUSTOMER}))"""
+)
+def workbook_row_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Tabs read from files, with the number of each row on its tab; a header stands before each row."""
+    rows = _customer_text(spark, sf).orderBy(F.col("key").cast("long"))
+    debt = F.col("balance").startswith("-")
+    paths = [
+        csv_folder.export_csv(_sheet(rows.filter(own)), scratch_path(spark, "tab"), False, header=False) for own in (~debt, debt)
+    ]
+    return workbook.workbook_from_files(spark, paths)
+
+
 @query(
     f"""select key, name, nation, balance, segment from ({TEXT_CUSTOMER})
     union all select 'key', 'name', 'nation', 'balance', 'segment' from customer
@@ -188,10 +203,13 @@ def column_typing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """select event_id, user_id, (props->>'k')::int as k, true as ok from events"""
+    """select event_id, user_id, case when event_id % 7 <> 0 then (props->>'k')::int end as k,
+    event_id % 7 <> 0 as ok from events"""
 )
 def json_payload_parse(spark: SparkSession, sf: str) -> DataFrame:
-    events = payloads.with_json(table(spark, sf, "events"), "props", "k int")
+    """Saved JSON responses, each seventh of them cut off."""
+    cut = F.when(F.col("event_id") % 7 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
+    events = payloads.with_json(table(spark, sf, "events").withColumn("props", cut), "props", "k int")
     return events.select("event_id", "user_id", F.col("record.k").alias("k"), "ok")
 
 

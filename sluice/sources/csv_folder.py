@@ -82,10 +82,10 @@ def concat_csv_folder(
     return typed(whole, blank="null", na_values=na_values)
 
 
-def export_csv(df: DataFrame, path: str, compress: bool = True) -> str:
-    """Write CSV with a header, gzip by default, one file per partition; return the path."""
+def export_csv(df: DataFrame, path: str, compress: bool = True, header: bool = True) -> str:
+    """Write CSV, by default with a header and gzip, one file per partition; return the path."""
     codec = "gzip" if compress else "none"
-    df.write.option("header", True).option("compression", codec).csv(path)
+    df.write.option("header", header).option("compression", codec).csv(path)
     return path
 
 

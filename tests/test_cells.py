@@ -79,3 +79,23 @@ def test_union_by_name_widens_types(spark):
     assert [r.id for r in typing.union_names([ints, texts]).collect()] == ["1", "t"]
     with pytest.raises(ValueError):
         typing.union_positions([ints, floats])
+
+
+def test_rows_are_numbered_over_splits_and_files(spark, tmp_path):
+    tab = tmp_path / "tab"
+    tab.mkdir()
+    first = [f"r{i},{i}" for i in range(200)]
+    (tab / "a.csv").write_text("\n".join(["name,value", *first]) + "\n")
+    (tab / "b.csv").write_text('"q,1",7\n,\nname,value\nlast,8\nshort\n')
+    other = tmp_path / "other.csv"
+    other.write_text("name,value\nx,1\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        found = [tuple(r) for r in workbook.workbook_from_files(spark, [str(tab), str(other)]).orderBy("tab_no", "row_no").collect()]
+        assert spark.read.text(str(tab)).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [(1, i + 2, f"r{i}", str(i)) for i in range(200)]
+    want += [(1, 202, "q,1", "7"), (1, 205, "last", "8"), (1, 206, "short", ""), (2, 2, "x", "1")]
+    assert found == want
