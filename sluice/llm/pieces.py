@@ -70,6 +70,13 @@ class Pieces:
                     self.inside.add(text[n - 1 : n + 1])
                 self.begun[text] = ((i,), model.get_score(i))
         self.byte_ids = [byte_ids[b] for b in range(256)]
+        # The same as a tree by characters: (what follows, ids, score), without ids where no piece ends.
+        self.tree: dict[str, tuple] = {}
+        for text, piece in self.begun.items():
+            at = self.tree
+            for char in text[:-1]:
+                at = at[char][0]
+            at[text[-1]] = (at[text[-1]][0] if text[-1] in at else {}, *(piece or (None, 0.0)))
         self.unknown = min(p[1] for p in self.begun.values() if p and p[1] > -1e8) - UNKNOWN_COST
 
     def cuts(self, segment: str) -> list[str]:
@@ -104,26 +111,28 @@ class Pieces:
 
     def two_best(self, segment: str) -> tuple[float, tuple[int, ...], float]:
         """Score and ids of the best segmentation, and what the second one costs over it."""
-        n, none, begun = len(segment), float("-inf"), self.begun
+        n, none, tree = len(segment), float("-inf"), self.tree
         first, second, back = [none] * (n + 1), [none] * (n + 1), [None] * (n + 1)
         first[0] = 0.0
         for start in range(n):
-            a, b, single = first[start], second[start], False
-            for end in range(start + 1, n + 1):
-                piece = begun.get(segment[start:end], False)
-                if piece:
-                    ids, score = piece
-                    x, top = a + score, first[end]
-                    if x > top:
-                        first[end], back[end] = x, (start, ids)
-                        second[end] = max(top, b + score)
-                    else:
-                        if x > second[end]:
-                            second[end] = x
-                    if end == start + 1:
-                        single = True
-                elif piece is False:
+            a, b, single, node, end = first[start], second[start], False, tree, start
+            for char in segment[start:]:
+                found = node.get(char)
+                if found is None:
                     break
+                node, ids, score = found
+                end += 1
+                if ids is None:
+                    continue
+                x, top = a + score, first[end]
+                if x > top:
+                    first[end], back[end] = x, (start, ids)
+                    x = b + score
+                    second[end] = top if top > x else x
+                elif x > second[end]:
+                    second[end] = x
+                if end == start + 1:
+                    single = True
             if not single:
                 end, x = start + 1, a + self.unknown
                 ids = tuple([self.byte_ids[c] for c in segment[start].encode("utf-8", "surrogatepass")])
