@@ -34,8 +34,9 @@ def stem_vocabulary(
 
 def stem_maxima(vocab: DataFrame) -> DataFrame:
     """The words that are most frequent for their stem; ties are kept."""
-    best = vocab.groupBy("stem").agg(F.max("n").alias("n"))
-    return vocab.join(best, ["stem", "n"]).select("orig", "stem", "n")
+    # a window makes the stems once, where a join with the maxima makes them for either side
+    best = F.max("n").over(Window.partitionBy("stem"))
+    return vocab.withColumn("_best", best).filter(F.col("n") == F.col("_best")).select("orig", "stem", "n")
 
 
 def stem_representatives(vocab: DataFrame) -> DataFrame:
