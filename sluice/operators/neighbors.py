@@ -3,7 +3,9 @@
 A small training side, by a checked number of values, is sent to every task.
 Beyond that both sides are cut into cells around pivots and the cells into chunks
 of bounded size; a query visits only the cells that can still hold one of its
-nearest, which the triangle inequality tells without loss.
+nearest, which the triangle inequality tells without loss.  Queries of a cell are
+held by a few tasks, through which the training rows of the cells they visit stream:
+rows are copied once for each such task and a query's list is sent once.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +25,10 @@ from sluice.session import cut_lineage
 BROADCAST_VALUES = 4_000_000
 CHUNK_ROWS = 4_096
 CELLS = 16
+# queries that one task holds with their lists
+HELD_QUERIES = 65_536
+TASKS_PER_CORE = 2
+NO_ID = np.iinfo(np.int64).max
 NEAREST_SCHEMA = "query_id long, neighbor_id long, neighbor_label double, distance double"
 
 
@@ -121,7 +128,8 @@ def nearest_neighbors(
     if t.limit(limit + 1).count() <= limit:
         nearest = _against_broadcast(q, t, k)
     else:
-        nearest = _against_cells(q, t, k, chunk_rows, cells)
+        kinds = {df.schema[vector].dataType.simpleString() for df in (queries, train)}
+        nearest = _against_cells(q, t, k, chunk_rows, cells, kinds == {"array<float>"})
     order = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
     ranked = nearest.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "neighbor_id", "neighbor_label", "distance")
@@ -139,7 +147,7 @@ def _against_broadcast(queries: DataFrame, train: DataFrame, k: int) -> DataFram
 
 
 def _against_cells(
-    queries: DataFrame, train: DataFrame, k: int, chunk_rows: int, cells: int
+    queries: DataFrame, train: DataFrame, k: int, chunk_rows: int, cells: int, narrow: bool = False
 ) -> DataFrame:
     pivots = _pivots(train, cells)
     in_cell = train.withColumn("cell", _nearest_pivot(pivots)("vector"))
@@ -161,17 +169,141 @@ def _against_cells(
     bound = seen.groupBy("query_id").agg(
         F.when(F.count("*") >= k, F.max("distance")).alias("bound")
     )
-    bounded = queries.join(bound, queries["id"] == bound["query_id"], "left").drop("query_id")
+    bounded = at_home.join(bound, at_home["id"] == bound["query_id"], "left").drop("query_id")
+    # vectors of floats are moved as such, which loses nothing
+    kind = "array<float>" if narrow else "array<double>"
     visits = cut_lineage(
-        bounded.withColumn("cells", _cells_to_visit(pivots, stats)("vector", "bound")).select(
-            "id", "vector", "label", "grp", "cells"
+        bounded.select(
+            "id", F.col("vector").cast(kind).alias("vector"), "label", "grp", "cell",
+            _cells_to_visit(pivots, stats)("vector", "bound").alias("cells"),
         )
-    )
-    sent = visits.withColumn("cell", F.explode("cells")).drop("cells")
-    sent = sent.withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), _per_cell("cell", chunks) - 1))
-    )
-    return _block_join(sent, in_chunk, k, chunk_rows)
+    )
+    sizes = {row.cell: row.n for row in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    return _streamed(visits, in_cell.withColumn("vector", F.col("vector").cast(kind)), k, sizes)
+
+
+def _streamed(visits: DataFrame, in_cell: DataFrame, k: int, sizes: dict[int, int]) -> DataFrame:
+    """Nearest rows of each query among those of the cells it visits.
+
+    The queries of a cell, of which there are ``sizes``, are dealt to some tasks; the training rows of all cells that
+    one of a task's queries visits are sent to it after them.
+    """
+    tasks = TASKS_PER_CORE * visits.sparkSession.sparkContext.defaultParallelism
+    total = sum(sizes.values())
+    parts = {c: max(1, round(tasks * n / total), -(-n // HELD_QUERIES)) for c, n in sizes.items()}
+    first = dict(zip(sorted(parts), np.cumsum([0, *[parts[c] for c in sorted(parts)]]).tolist(), strict=False))
+    count = sum(parts.values())
+    if not count:
+        return visits.sparkSession.createDataFrame([], NEAREST_SCHEMA)
+    task = (_per_cell("cell", first) + _spread("id", "cell", parts)).cast("int")
+    held = visits.select(task.alias("task"), F.lit(0).alias("side"), "id", "vector", "label", "grp", "cells")
+    wanted = held.select("task", F.explode("cells").alias("cell")).distinct()
+    sent = in_cell.join(F.broadcast(wanted), "cell").select("task", F.lit(1).alias("side"), "id", "vector", "label", "grp")
+    both = held.drop("cells").unionByName(sent).repartitionById(count, "task").sortWithinPartitions("side")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, queries, waiting, rows = None, [], [], 0
+        for batch in batches:
+            side = batch.column("side").to_numpy()
+            queries.append(batch.filter(pa.array(side == 0)))
+            waiting.append(batch.filter(pa.array(side == 1)))
+            rows += int((side == 1).sum())
+            if rows >= CHUNK_ROWS:
+                found = found or NearestLists(pa.Table.from_batches(queries), k)
+                found.add(pa.Table.from_batches(waiting))
+                queries, waiting, rows = [], [], 0
+        if found is None and queries:
+            found = NearestLists(pa.Table.from_batches(queries), k)
+        if rows:
+            found.add(pa.Table.from_batches(waiting))
+        if found is not None:
+            yield from found.batches()
+
+    return both.mapInArrow(run, NEAREST_SCHEMA)
+
+
+def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, groups, which groups are null, and vectors; a null id is ``NO_ID``."""
+    vectors = table.column("vector").combine_chunks()
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype("float64")
+    grp = table.column("grp")
+    return (
+        table.column("id").fill_null(NO_ID).to_numpy(), grp.fill_null(0).to_numpy(),
+        grp.is_null().to_numpy(), flat.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 0)),
+    )
+
+
+class NearestLists:
+    """The ``k`` nearest so far of each of some queries, of rows that come in parts.
+
+    Products of four-byte numbers only narrow the choice, with a margin for their rounding; the
+    distances kept are summed from the differences.  Ties go to the least id.
+    """
+
+    def __init__(self, queries: pa.Table, k: int):
+        self.ids, self.groups, self.apart, self.vectors = _columns(queries)
+        n, self.k = len(self.ids), k
+        self.squares = (self.vectors**2).sum(axis=1)
+        self.distance = np.full((n, k), np.inf)
+        self.near = np.full((n, k), NO_ID)
+        self.label = np.full((n, k), np.nan)
+
+    def add(self, rows: pa.Table) -> None:
+        ids, groups, apart, vectors = _columns(rows)
+        if not len(self.ids):
+            return
+        label = rows.column("label").to_numpy().astype("float64")
+        squares = (vectors**2).sum(axis=1)
+        largest = max(squares.max(initial=0.0), self.squares.max(initial=0.0))
+        # beyond this the squares of four-byte numbers could overflow, or vanish
+        small, kind = (1.2e-7 * (vectors.shape[1] + 8), "float32") if 1e-20 < largest < 1e30 else (1e-9, "float64")
+        turned, rough_squares = vectors.astype(kind).T, squares.astype(kind)
+        step = max(1, 4_000_000 // len(ids))
+        for start in range(0, len(self.ids), step):
+            at = slice(start, start + step)
+            rough = self.vectors[at].astype(kind) @ turned
+            rough *= -2
+            rough += rough_squares
+            # what is compared leaves out the query's own square, which is the same in its row
+            rough[(self.groups[at, None] == groups) & ~self.apart[at, None] & ~apart] = np.inf
+            margin = small * (largest + self.squares[at]) + (1e-9 if kind == "float64" else 0.0)
+            limit = self.distance[at, -1] ** 2 - self.squares[at] + margin
+            fresh = np.flatnonzero(np.isinf(limit))
+            if len(fresh) and self.k < len(ids):
+                limit[fresh] = np.partition(rough[fresh], self.k - 1, axis=1)[:, self.k - 1] + 2 * margin[fresh]
+            which, chosen = np.nonzero((rough <= limit[:, None].astype("float64")) & (rough < np.inf))
+            if len(which):
+                which += start
+                away = np.sqrt(((vectors[chosen] - self.vectors[which]) ** 2).sum(axis=1))
+                self._merge(which, away, ids[chosen], label[chosen])
+
+    def _merge(self, which: np.ndarray, away: np.ndarray, ids: np.ndarray, label: np.ndarray) -> None:
+        """Put further rows into the lists of the queries ``which``."""
+        own = np.unique(which)
+        held = np.repeat(own, self.k)
+        query = np.concatenate([held, which])
+        away = np.concatenate([self.distance[own].ravel(), away])
+        ids = np.concatenate([self.near[own].ravel(), ids])
+        label = np.concatenate([self.label[own].ravel(), label])
+        order = np.lexsort((ids, away, query))
+        begins = np.flatnonzero(np.append(True, np.diff(query[order]) > 0))
+        place = order[(begins[:, None] + np.arange(self.k)).ravel()]
+        shape = (len(own), self.k)
+        self.distance[own], self.near[own], self.label[own] = (x[place].reshape(shape) for x in (away, ids, label))
+
+    def batches(self, step: int = 4_096) -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(self.ids), step):
+            at = slice(start, start + step)
+            full = np.isfinite(self.distance[at])
+            query = np.repeat(self.ids[at], full.sum(axis=1))
+            near, label, distance = self.near[at][full], self.label[at][full], self.distance[at][full]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(query, mask=query == NO_ID), pa.array(near, mask=near == NO_ID),
+                    pa.array(label, from_pandas=True), pa.array(distance),
+                ],
+                ["query_id", "neighbor_id", "neighbor_label", "distance"],
+            )
 
 
 def _pivots(train: DataFrame, cells: int) -> np.ndarray:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sluice.functions.text import clean_text, counted, word_ngrams
-from sluice.operators import tfidf, words
+from sluice.operators import neighbors, tfidf, words
 
 
 def plan_of(df) -> str:
@@ -59,3 +61,47 @@ def test_maxima_read_the_vocabulary_once(spark):
     best = words.stem_maxima(vocab)
     assert "Join" not in plan_of(best)
     assert sorted(map(tuple, best.collect())) == [("run", "run", 3), ("runs", "run", 3)]
+
+
+def test_lists_of_rows_that_come_in_parts_equal_brute_force():
+    rng = np.random.default_rng(5)
+    for spread in (1.0, 1e-3, 1e18):
+        rows = (rng.normal(0, 1, (500, 8)) + 3.0) * spread
+        rows[5::50] = rows[4]
+        groups = [None if i % 91 == 7 else i % 3 for i in range(500)]
+        table = pa.table({
+            "id": pa.array(range(500), pa.int64()), "vector": pa.array(rows.tolist(), pa.list_(pa.float64())),
+            "label": pa.array([None if i % 10 == 3 else float(i % 4) for i in range(500)]), "grp": pa.array(groups, pa.int64()),
+        })
+        lists = neighbors.NearestLists(table, 6)
+        for start in (0, 3, 120, 400):
+            lists.add(table.slice(start, {0: 3, 3: 117, 120: 280, 400: 100}[start]))
+        away = np.sqrt(((rows[:, None] - rows[None]) ** 2).sum(axis=2))
+        for i in range(500):
+            others = [j for j in range(500) if groups[i] is None or groups[j] is None or groups[i] != groups[j]]
+            wanted = sorted(others, key=lambda j: (away[i, j], j))[:6]
+            assert lists.near[i].tolist() == wanted
+    assert sum(b.num_rows for b in lists.batches(step=64)) == 3_000
+
+
+def test_streamed_rows_give_the_lists_of_the_broadcast(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i % 290 if i % 40 else None, rng.normal(0, 1, 4).tolist(), float(i % 3) if i % 7 else None, i % 4 if i % 11 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, vector array<float>, label double, grp long").repartition(3)
+    key = ("query_id", "rank", "distance", "neighbor_label")
+    lists = [
+        sorted((tuple(r[c] for c in key) for r in neighbors.nearest_neighbors(df, df, 5, apart="grp", **sizes).collect()), key=str)
+        for sizes in ({}, {"broadcast_values": 0, "chunk_rows": 40, "cells": 5})
+    ]
+    assert lists[0] == lists[1]
+
+
+def test_training_rows_are_copied_for_tasks_and_not_for_chunks(spark, monkeypatch):
+    """Lists of a query were sent for each chunk of the training rows: 60 of them here."""
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, rng.normal(0, 1, 3).tolist(), 0.0) for i in range(300)], "id long, vector array<double>, label double")
+    kept = []
+    streamed = neighbors._streamed
+    monkeypatch.setattr(neighbors, "_streamed", lambda *args: kept.append(streamed(*args)) or kept[0])
+    neighbors.nearest_neighbors(df, df, 3, broadcast_values=0, chunk_rows=5, cells=2).collect()
+    assert kept[0].count() == 900
