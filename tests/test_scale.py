@@ -105,3 +105,13 @@ def test_training_rows_are_copied_for_tasks_and_not_for_chunks(spark, monkeypatc
     monkeypatch.setattr(neighbors, "_streamed", lambda *args: kept.append(streamed(*args)) or kept[0])
     neighbors.nearest_neighbors(df, df, 3, broadcast_values=0, chunk_rows=5, cells=2).collect()
     assert kept[0].count() == 900
+
+
+def test_words_are_restored_where_their_arrays_lie(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, ["run", "runs", "cat"]), (2, ["runs", "run", "run"]), (3, []), (None, ["cats", "cat", "cat"])], "doc_id long, tokens array<string>")
+    found = words.canonical_tokens(docs)
+    assert not re.search(r"hashpartitioning\(word", plan_of(found))
+    rows = sorted(map(tuple, found.collect()), key=str)
+    monkeypatch.setattr(words, "BROADCAST_WORDS", 0)
+    assert sorted(map(tuple, words.canonical_tokens(docs).collect()), key=str) == rows
+    assert (2, ["run", "run", "run"]) in rows and (3, []) in rows
