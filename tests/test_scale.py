@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sluice.functions.text import clean_text, counted, word_ngrams
-from sluice.operators import neighbors, tfidf, words
+from sluice.operators import neighbors, similarity, tfidf, words
 
 
 def plan_of(df) -> str:
@@ -115,3 +115,19 @@ def test_words_are_restored_where_their_arrays_lie(spark, monkeypatch):
     monkeypatch.setattr(words, "BROADCAST_WORDS", 0)
     assert sorted(map(tuple, words.canonical_tokens(docs).collect()), key=str) == rows
     assert (2, ["run", "run", "run"]) in rows and (3, []) in rows
+
+
+def test_similar_pairs_by_blocks_move_vectors_once_a_block(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(1000 - i, [rng.choice(["aa", "bb", "cc", "dd", "ee", "ff"]) for _ in range(rng.randrange(1, 12))]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    weights = tfidf.tfidf_weights(docs, settings=tfidf.TfidfSettings(max_df=1.0, n_max=1))
+    found = []
+    for entries in (4_000_000, 0):
+        monkeypatch.setattr(similarity, "BROADCAST_ENTRIES", entries)
+        monkeypatch.setattr(similarity, "BLOCK_DOCUMENTS", 9)
+        pairs = similarity.cosine_pairs(weights, 0.7)
+        found.append({tuple(r)[:4]: round(r.similarity, 9) for r in pairs.collect()})
+    assert found[0] == found[1] and len(found[0]) > 20
+    assert "Join" not in plan_of(pairs).split("FlatMapCoGroups")[0]
+    assert "FlatMapCoGroupsInArrow" in plan_of(pairs)
