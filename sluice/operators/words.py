@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.functions.bind import to_explode
 from sluice.functions.stem import Stemmer, english_stem
 from sluice.session import cut_lineage
 
@@ -14,7 +15,7 @@ BROADCAST_WORDS = 500_000
 
 def corpus_words(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
     """One row per word of every document, repeats included."""
-    return docs.select(F.explode(tokens).alias("word"))
+    return docs.select(F.explode(to_explode(F.col(tokens))).alias("word"))
 
 
 def vocabulary(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
@@ -106,7 +107,7 @@ def top_words(
 ) -> DataFrame:
     """The ``n`` most frequent words of each group, ties by word."""
     counts = (
-        docs.select(group, F.explode(tokens).alias("word"))
+        docs.select(group, F.explode(to_explode(F.col(tokens))).alias("word"))
         .groupBy(group, "word")
         .agg(F.count("*").alias("n"))
     )

@@ -8,8 +8,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.functions.text import word_ngrams
+from sluice.functions.text import text_words, word_ngrams
 from sluice.operators import similarity, tfidf
+from sluice.operators import words as corpus
 
 
 @pytest.mark.parametrize("sizes", [(1, 1), (1, 3), (2, 3), (3, 3)])
@@ -35,3 +36,23 @@ def test_weights_are_made_once_for_the_vectors(spark):
     groups = similarity.copy_groups(similarity.document_vectors(weights)).collect()
     assert len(groups) == 40 and {r.copies for r in groups} == {2, 3}
     assert made.value == len(rows)
+
+
+def test_words_of_a_text_are_made_once(spark):
+    text = F.concat_ws(" ", F.lit("Aa, bb"), F.col("id").cast("string"))
+    docs = spark.range(4).select("id", F.when(F.col("id") > 1, text).when(F.col("id") == 1, "").alias("text"))
+    made = docs.select(F.col("id").alias("doc_id"), F.lit("x").alias("source"), text_words(F.col("text")).alias("tokens"))
+    every = {
+        "words": corpus.corpus_words(made), "top": corpus.top_words(made, "source"),
+        "rows": tfidf.gram_rows(made, "doc_id", n_max=2), "stems": corpus.stem_vocabulary(made),
+    }
+    for name, found in every.items():
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all") == 1, name
+    assert Counter(r.word for r in every["words"].collect()) == {"aa": 2, "bb": 2}
+    assert Counter(r.term for r in every["rows"].collect()) == {"aa": 2, "bb": 2, "aa bb": 2}
+
+
+def test_null_and_empty_arrays_have_no_words(spark):
+    docs = spark.createDataFrame([(1, ["a", None, "a"]), (2, []), (3, None)], "doc_id long, tokens array<string>")
+    assert Counter(r.word for r in corpus.corpus_words(docs).collect()) == {"a": 2, None: 1}
