@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from sluice.operators.flat_trees import SparseRows
 
 
-# Products held at a time: values of rows times components.
-CELLS = 1 << 22
+# Products held at a time: values of rows times components.  These stay in a core's cache; blocks too large for it, taken
+# from the system anew each time, made tasks wait for memory.
+CELLS = 1 << 16
 
 
 def _scrambled(x: np.ndarray) -> np.ndarray:
@@ -55,7 +56,8 @@ def fourier(rows: SparseRows, components: int, gamma: float, seed: int) -> np.nd
         own = slice(at[row], at[end])
         filled = np.flatnonzero(np.diff(at[row : end + 1]))
         if len(filled):
-            products = rows.values[own, None] * along[place[own]]
+            products = along[place[own]]
+            products *= rows.values[own, None]
             sums[row + filled] = np.add.reduceat(products, at[row + filled] - at[row])
         row = end
     return np.sqrt(2.0 / components) * np.cos(sums + phases)

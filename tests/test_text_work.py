@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sluice.functions.text import text_words, word_ngrams
 from sluice.operators import similarity, tfidf
 from sluice.operators import words as corpus
+from sluice.plans import model_queries
 
 
 @pytest.mark.parametrize("sizes", [(1, 1), (1, 3), (2, 3), (3, 3)])
@@ -56,3 +57,19 @@ def test_words_of_a_text_are_made_once(spark):
 def test_null_and_empty_arrays_have_no_words(spark):
     docs = spark.createDataFrame([(1, ["a", None, "a"]), (2, []), (3, None)], "doc_id long, tokens array<string>")
     assert Counter(r.word for r in corpus.corpus_words(docs).collect()) == {"a": 2, None: 1}
+
+
+def test_words_behind_examples_are_made_once(spark, sf_dir, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+    rows = [(i, "de" if i % 3 else "en", ["aa", "bb", f"w{i % 4}"]) for i in range(60)]
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    schema = "doc_id long, lang string, tokens array<string>"
+    monkeypatch.setattr(model_queries, "tokenised", lambda *_: spark.createDataFrame(rows, schema).mapInArrow(counted, schema))
+    found = model_queries.examples(spark, sf_dir).collect()
+    assert made.value == len(rows) == len({r.id for r in found})
+    assert {r.id: r.label for r in found} == {i: float(lang == "en") for i, lang, _ in rows}
