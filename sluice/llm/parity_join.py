@@ -46,6 +46,7 @@ HINT_SHARE, HINT_LEAST, HINT_ONE_IN = 1000, 4, 32
 MAX_BROADCAST_IDS = 2_000_000
 BLOCK_NODES = 1000
 KEY_BYTES = 5
+NODE_BYTES = 12
 
 
 def shingles_of(text: str, width: int = SHINGLE) -> np.ndarray:
@@ -53,7 +54,7 @@ def shingles_of(text: str, width: int = SHINGLE) -> np.ndarray:
 
     Fewer words than ``width`` are one shingle; no words give none.
     """
-    words = [w.lower() for w in words_of(text)]
+    words = words_of(text, lower=True)
     if not words:
         return np.zeros(0, np.uint64)
     if len(words) < width:
@@ -75,8 +76,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(hashes: np.ndarray) -> bytes:
-    """16 bytes that stand for a set."""
-    return xxhash.xxh3_128_digest(hashes.tobytes())
+    """96 bits that stand for a set, as every block it is sent with repeats them."""
+    return xxhash.xxh3_128_digest(hashes.tobytes())[:NODE_BYTES]
 
 
 def sketch_of(hashes: np.ndarray) -> bytes:
@@ -113,16 +114,17 @@ class Bands:
         return 2 * self.tops[band] * (100 - self.pct) // (100 + self.pct)
 
 
-def block_keys(hashes: np.ndarray, widespread: np.ndarray, band: int, differences: int) -> np.ndarray:
-    """Keys of the d + 1 preferred blocks of a set in a band."""
+def block_keys(hashes: np.ndarray, mixed: np.ndarray, rare: np.ndarray, band: int, differences: int) -> np.ndarray:
+    """Keys of the d + 1 preferred blocks of a set in a band, in no order.
+
+    ``mixed`` are the hashes as blocks sum them up, ``rare`` is 1 for those that are not widespread.
+    """
     blocks = 2 * (differences + 1)
     number = ((hashes >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
     starts = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
     filled = number[starts]
     salt = np.uint64(band * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF)
-    content = np.bitwise_xor.reduceat(_mixed(hashes ^ np.uint64(0xD6E8FEB86659FD93)), starts)
-    rare = np.add.reduceat((~widespread).astype(np.int64), starts)
-    count = np.diff(np.append(starts, len(hashes)))
+    content = np.bitwise_xor.reduceat(mixed, starts)
     wanted = differences + 1
     keys = _mixed(content + (filled + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + salt)
     if len(filled) < wanted:
@@ -130,8 +132,13 @@ def block_keys(hashes: np.ndarray, widespread: np.ndarray, band: int, difference
         extra = _mixed((empty + np.uint64(1)) * np.uint64(0xA0761D6478BD642F) + salt)
         # Empty blocks come last, in the order of their keys.
         return np.concatenate([keys, np.sort(extra)[: wanted - len(filled)]])
-    order = np.lexsort((keys, -count, -rare))
-    return keys[order[:wanted]]
+    if len(filled) == wanted:
+        return keys
+    # Most rare shingles first, then most shingles, then the least key: one number that only depends on the block.
+    few = np.uint64(255) - np.minimum(np.add.reduceat(rare, starts), 255).astype(np.uint64)
+    small = np.uint64(255) - np.minimum(np.diff(np.append(starts, len(hashes))), 255).astype(np.uint64)
+    place = (few << np.uint64(56)) | (small << np.uint64(48)) | (keys >> np.uint64(16))
+    return keys[np.argpartition(place, wanted - 1)[:wanted]]
 
 
 def text_sets(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
@@ -182,7 +189,9 @@ def _known(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return sorted_keys[at] == keys
 
 
-ENTRY = np.dtype([("key", "<u8"), ("a", "<u8"), ("b", "<u8")])
+NODE = np.dtype([("a", "<u8"), ("b", "<u4")])
+ENTRY = np.dtype([("key", "<u8"), *NODE.descr])
+PAIR = np.dtype([("la", "<u8"), ("lb", "<u4"), ("ra", "<u8"), ("rb", "<u4")])
 
 
 def block_entries(docs: DataFrame, hint: Broadcast, buckets: int, pct: int, width: int) -> DataFrame:
@@ -222,9 +231,10 @@ def block_entries(docs: DataFrame, hint: Broadcast, buckets: int, pct: int, widt
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(node)
-                common, band = _known(hint.value, hashes), layout.of(len(hashes))
+                rare, band = (~_known(hint.value, hashes)).astype(np.int64), layout.of(len(hashes))
+                mixed = _mixed(hashes ^ np.uint64(0xD6E8FEB86659FD93))
                 for k in (band, band + 1):
-                    keys.append(block_keys(hashes, common, k, layout.differences(k)))
+                    keys.append(block_keys(hashes, mixed, rare, k, layout.differences(k)))
                     nodes.append(node)
                     size += len(keys[-1])
             if size >= CHUNK:
@@ -239,20 +249,20 @@ def block_entries(docs: DataFrame, hint: Broadcast, buckets: int, pct: int, widt
 def _unpacked(batch: pa.RecordBatch, row: int) -> np.ndarray:
     """The entries of a row, with keys that are the bucket's own."""
     nodes, counts, keys = (batch.column(c)[row].as_py() for c in ("nodes", "counts", "keys"))
-    node = np.repeat(np.frombuffer(nodes, "<u8").reshape(-1, 2), np.frombuffer(counts, "<u4"), axis=0)
+    node = np.repeat(np.frombuffer(nodes, NODE), np.frombuffer(counts, "<u4"))
     entries = np.empty(len(node), ENTRY)
     whole = np.zeros((len(node), 8), np.uint8)
     whole[:, :KEY_BYTES] = np.frombuffer(keys, np.uint8).reshape(-1, KEY_BYTES)
     bucket = np.uint64(batch.column("bucket")[row].as_py() << 8 * KEY_BYTES & 0xFFFFFFFFFFFFFFFF)
-    entries["key"], entries["a"], entries["b"] = whole.view("<u8")[:, 0] | bucket, node[:, 0], node[:, 1]
+    entries["key"], entries["a"], entries["b"] = whole.view("<u8")[:, 0] | bucket, node["a"], node["b"]
     return entries
 
 
 def _as_binary(nodes: np.ndarray) -> pa.Array:
-    flat = np.empty((len(nodes), 2), "<u8")
-    flat[:, 0], flat[:, 1] = nodes["a"], nodes["b"]
+    flat = np.empty(len(nodes), NODE)
+    flat["a"], flat["b"] = nodes["a"], nodes["b"]
     raw = flat.tobytes()
-    return pa.array([raw[i : i + 16] for i in range(0, len(raw), 16)], pa.binary())
+    return pa.array([raw[i : i + NODE_BYTES] for i in range(0, len(raw), NODE_BYTES)], pa.binary())
 
 
 def block_groups(entries: DataFrame) -> DataFrame:
@@ -295,11 +305,14 @@ def block_groups(entries: DataFrame) -> DataFrame:
             )
             for i in range(0, len(pairs), 50_000):
                 part = pairs[i : i + 50_000]
-                raw = part.tobytes()
+                flat = np.empty(len(part), PAIR)
+                for column, name in enumerate(PAIR.names):
+                    flat[name] = part[:, column]
+                raw = flat.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([raw[j : j + 16] for j in range(0, len(raw), 32)], pa.binary()),
-                        pa.array([raw[j + 16 : j + 32] for j in range(0, len(raw), 32)], pa.binary()),
+                        pa.array([raw[j : j + NODE_BYTES] for j in range(0, len(raw), PAIR.itemsize)], pa.binary()),
+                        pa.array([raw[j + NODE_BYTES : j + PAIR.itemsize] for j in range(0, len(raw), PAIR.itemsize)], pa.binary()),
                         pa.nulls(len(part), pa.int64()),
                     ],
                     ["left", "right", "key"],
