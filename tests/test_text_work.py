@@ -73,3 +73,17 @@ def test_words_behind_examples_are_made_once(spark, sf_dir, monkeypatch):
     found = model_queries.examples(spark, sf_dir).collect()
     assert made.value == len(rows) == len({r.id for r in found})
     assert {r.id: r.label for r in found} == {i: float(lang == "en") for i, lang, _ in rows}
+
+
+def test_a_task_counts_the_terms_of_a_bounded_number_of_words(spark, monkeypatch):
+    monkeypatch.setattr(tfidf, "WORDS_PER_TASK", 100, raising=False)
+    rows = [(i % 1900 if i % 40 else None, ["aa", "bb", "aa", f"w{i % 7}"]) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    found = tfidf.term_frequencies(docs, n_max=1).withColumn("task", F.spark_partition_id()).collect()
+    wanted = Counter((d, t) for d, words in rows for t in words)
+    assert {(r.doc_id, r.term): r.tf for r in found} == wanted and len(found) == len(wanted)
+    # rows without an id are a document, which is not parted
+    held = Counter()
+    for r in found:
+        held[r.task] += r.tf if r.doc_id is not None else 0
+    assert max(held.values()) < 300
